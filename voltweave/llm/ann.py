@@ -6,9 +6,9 @@
    distinct vector is then indexed: it descends to one leaf.
 3. Calibration: exact neighbours of a bounded sample of queries (one scan of all vectors in blocks) show how many
    leaves each needs in the best-bin-first order; leaf visits are widened until the target recall is reached.
-4. Each query walks the tree best bin first (a priority queue of branches by bound) and visits that many
-   leaves. (query, leaf) pairs meet the leaf's vectors in sub-blocks of bounded size; each block gives its k best per
-   query, and the best of these are merged. Similarity is the cosine in double precision on original vectors.
+4. Each query walks the tree best bin first (a priority queue of branches by similarity) and visits that many
+   leaves. Leaves lie on pages of bounded size (small neighbours share one, large ones have several); a query
+   goes once to each page of its leaves and is compared with all of it; the k best of each page are merged. Similarity is the cosine in double precision on original vectors.
 
 Visits to leaves grow with their number only as calibration asks. Edge cases: vectors that are null, empty, zero, or hold
 null or non-finite components take no part (neither as queries); vectors of another length than the most
@@ -22,7 +22,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -32,9 +31,9 @@ K, QUERY_EVERY = 5, 50
 #: The tree is fitted on at most so many vectors; a split has BRANCH children, a leaf of the fit at most LEAF vectors.
 SAMPLE, BRANCH, LEAF = 40_000, 8, 64
 #: Calibration uses at most so many queries; visits are the fewest that reach this recall on them.
-PROBES, RECALL = 200, 0.97
-#: Vectors of a leaf in one block.
-BLOCK_ROWS = 4096
+PROBES, RECALL = 200, 0.95
+#: Vectors that are compared at a time, and the most on a page.
+BLOCK_ROWS, PAGE_ROWS = 4096, 65536
 
 
 @dataclass
@@ -134,7 +133,7 @@ def matrix(column: pd.Series, width: int) -> np.ndarray:
     return np.stack(column.to_numpy()).astype(np.float64) if len(column) else np.zeros((0, width))
 
 
-def top(scores: np.ndarray, first_ids: np.ndarray, k: int) -> np.ndarray:
+def top(scores: np.ndarray, first_ids: np.ndarray, k: int) -> list[np.ndarray]:
     """Positions of the k best of each row: by score, then by id; exact at ties."""
     n = scores.shape[1]
     if n > k:
@@ -151,7 +150,7 @@ def cosines(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return (x * q).sum(1) / (np.sqrt((x * x).sum(1)) * np.sqrt((q * q).sum()))
 
 
-def nearest_in(q_id, q_vec: np.ndarray, q_key, x: np.ndarray, ids: list, k: int, keys: np.ndarray) -> list[tuple]:
+def nearest_in(q_key: np.ndarray, q_vec: np.ndarray, x: np.ndarray, ids: list, k: int) -> list[tuple]:
     """Rows (query key, score, ids) of the k + 1 best distinct vectors of a block for each query vector."""
     scores = unit(q_vec) @ unit(x).T
     first_ids = np.array([i[0] for i in ids], np.int64)
@@ -182,7 +181,7 @@ def exact_search(index: DataFrame, q_key: np.ndarray, q_vec: np.ndarray, k: int)
         for f in frames:
             for a in range(0, len(f), BLOCK_ROWS):
                 part = f.iloc[a : a + BLOCK_ROWS]
-                got = pd.DataFrame(nearest_in(key, q, key, matrix(part.vector, q.shape[1]), part.ids.tolist(), k, part.key.to_numpy()), columns=["query", "score", "ids"])
+                got = pd.DataFrame(nearest_in(key, q, matrix(part.vector, q.shape[1]), part.ids.tolist(), k), columns=["query", "score", "ids"])
                 both = got if kept is None else pd.concat([kept, got])
                 both = both.assign(low=both.ids.str[0]).sort_values(["query", "score", "low"], ascending=[True, False, True])
                 kept = both.groupby("query").head(k + 1)[["query", "score", "ids"]]
@@ -203,6 +202,23 @@ def calibrate(tree: Tree, index: DataFrame, q_key: np.ndarray, q_vec: np.ndarray
     return int(need[min(len(need) - 1, int(np.ceil(recall * len(need))))]) if len(need) else 1
 
 
+def pages(sizes: dict[int, int], n_leaves: int) -> tuple[np.ndarray, np.ndarray]:
+    """First page and number of pages of each leaf: small leaves next to each other share a page, large ones have several."""
+    rows = int(min(PAGE_ROWS, max(BLOCK_ROWS, sum(sizes.values()) // 64)))
+    first, blocks = np.zeros(n_leaves, np.int64), np.ones(n_leaves, np.int64)
+    page = room = 0
+    for leaf in range(n_leaves):
+        n = sizes.get(leaf, 0)
+        if n > room:
+            blocks[leaf] = max(1, -(-n // rows))
+            first[leaf], page = page, page + int(blocks[leaf])
+            room = 0 if blocks[leaf] > 1 else rows - n
+        else:
+            first[leaf] = max(0, page - 1)
+            room -= n
+    return first, blocks
+
+
 def search(vectors: DataFrame, is_query, k: int = K, sample: int = SAMPLE, probes: int = PROBES, recall: float = RECALL) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of each row that ``is_query`` selects by vec_id."""
     spark = vectors.sparkSession
@@ -232,40 +248,50 @@ def search(vectors: DataFrame, is_query, k: int = K, sample: int = SAMPLE, probe
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     visits = calibrate(tree, index, trial["query"].to_numpy(), matrix(trial.vector, common.d), k, recall)
 
-    # Blocks of a leaf: queries are sent to each, so that a large leaf is several tasks' work.
-    sizes = index.groupBy("leaf").agg(F.count("*").alias("n")).withColumn("blocks", F.ceil(F.col("n") / BLOCK_ROWS).cast("long")).drop("n")
-    stored = index.join(F.broadcast(sizes), "leaf").withColumn("block", F.pmod(F.col("key"), F.col("blocks"))).select("leaf", "block", "vector", "ids", F.lit(None).cast("long").alias("query"))
+    # One small row for each leaf of the tree (its sample bounds their number).
+    sizes = {r.leaf: r.n for r in index.groupBy("leaf").agg(F.count("*").alias("n")).collect()}
+    first, blocks = pages(sizes, tree.n_leaves)
+    paged = spark.sparkContext.broadcast((first, blocks))
+
+    def store(frames):
+        first, blocks = paged.value
+        for f in frames:
+            leaf = f.leaf.to_numpy()
+            yield f.assign(page=first[leaf] + f.key.to_numpy() % blocks[leaf], query=0, asks=False)[["page", "asks", "query", "vector", "ids"]]
 
     def walk(frames):
+        first, blocks = paged.value
         for f in frames:
-            q = unit(matrix(f.vector, common.d))
-            leaves = [shared.value.best_bins(v, visits) for v in q]
-            n = [len(x) for x in leaves]
-            at = np.repeat(np.arange(len(f)), n)
-            yield pd.DataFrame({"query": f["query"].to_numpy()[at], "vector": f.vector.to_numpy()[at], "leaf": np.concatenate(leaves) if n else []})
-
-    sent = queries.mapInPandas(walk, "query long, vector array<double>, leaf long").join(F.broadcast(sizes), "leaf")
-    sent = sent.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    sent = sent.select("leaf", "block", "vector", F.lit(None).cast("array<long>").alias("ids"), "query")
-    # A block's vectors come before the queries sent to it; queries are answered batch by batch.
-    dealt = stored.unionByName(sent).repartition("leaf", "block").sortWithinPartitions("leaf", "block", F.col("query").isNotNull(), "query")
+            for a in range(0, len(f), 256):
+                part, to, which = f.iloc[a : a + 256], [], []
+                for i, v in enumerate(unit(matrix(part.vector, common.d))):
+                    leaves = np.array(shared.value.best_bins(v, visits))
+                    own = np.unique(np.concatenate([np.arange(first[x], first[x] + blocks[x]) for x in leaves]))
+                    to.append(own)
+                    which.append(np.full(len(own), i))
+                rows = part.iloc[np.concatenate(which)]
+                yield rows.assign(page=np.concatenate(to), asks=True, ids=[[]] * len(rows))[["page", "asks", "query", "vector", "ids"]]
+
+    kinds = "page long, asks boolean, query long, vector array<double>, ids array<long>"
+    sent = queries.mapInPandas(walk, kinds)
+    # A page's vectors come before the queries sent to it; queries are answered batch by batch.
+    dealt = index.mapInPandas(store, kinds).unionByName(sent).repartition("page").sortWithinPartitions("page", "asks")
 
     def answer(frames):
         here, xs, ids = None, [], []
         for f in frames:
-            for (leaf, block, asks), at in sorted(f.assign(asks=f["query"].notna()).groupby(["leaf", "block", "asks"]).indices.items()):
+            for (page, asks), at in sorted(f.groupby(["page", "asks"]).indices.items()):
                 part = f.iloc[at]
-                if (leaf, block) != here:
-                    here, xs, ids = (leaf, block), [], []
+                if page != here:
+                    here, xs, ids = page, [], []
                 if not asks:
                     xs.append(matrix(part.vector, common.d))
                     ids += part.ids.tolist()
                 elif xs:
                     xs = [np.concatenate(xs)]
-                    for a in range(0, len(part), 512):
-                        some = part.iloc[a : a + 512]
-                        key = some["query"].to_numpy(np.int64)
-                        yield pd.DataFrame(nearest_in(key, matrix(some.vector, common.d), key, xs[0], ids, k, key), columns=["query", "score", "ids"])
+                    for a in range(0, len(part), 256):
+                        some = part.iloc[a : a + 256]
+                        yield pd.DataFrame(nearest_in(some["query"].to_numpy(), matrix(some.vector, common.d), xs[0], ids, k), columns=["query", "score", "ids"])
 
     found = merge(dealt.mapInPandas(answer, FOUND), k)
     rows_out = asked.select(F.col("vec_id").alias("query_id"), "query").join(found, "query").withColumn("vec_id", F.explode("ids")).where(F.col("vec_id") != F.col("query_id"))
