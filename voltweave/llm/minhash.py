@@ -49,7 +49,9 @@ def _powers(n: int, base: int, cache: dict = {}) -> np.ndarray:  # noqa: B006  o
     have = cache.get(base)
     if have is None or len(have) < n:
         size = max(n, 1 << 16)
-        have = np.cumprod(np.concatenate(([1], np.full(size - 1, base, np.uint64))).astype(np.uint64), dtype=np.uint64)
+        have = np.full(size, base, np.uint64)
+        have[0] = 1
+        have = np.cumprod(have, dtype=np.uint64)
         cache[base] = have
     return have[:n]
 
@@ -286,18 +288,20 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     text_rep = signed.groupBy("seq").agg(F.min("doc_id").alias("rep"))
     reps = stage(signed.groupBy("seq").agg(F.min_by("bands", "doc_id").alias("bands"), F.min("doc_id").alias("id")).select("id", "bands"), "reps")
 
-    keyed = reps.select("id", F.explode("bands").alias("key"))
-    rep_docs = docs.join(reps.select(F.col("id").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    first = stage(verify(leaders(keyed), rep_docs, weights, similarity), "verified")
+    pairs = stage(leaders(reps.select("id", F.explode("bands").alias("key"))), "pairs")
+    # The texts that have partners are taken out once; finer buckets hold no others.
+    involved = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    texts = stage(docs.join(involved, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+    first = stage(verify(pairs, texts, weights, similarity), "verified")
     # Texts that a bucket brought together with a leader unlike them meet the others like that in finer buckets.
     unlike = first.where("not linked").select(F.col("b").alias("id")).distinct()
     again = reps.join(unlike, "id", "left_semi")
     two = F.array(*(F.xxhash64(F.col("bands")[i], F.col("bands")[j], F.lit(i * BANDS + j)) for i, j in itertools.combinations(range(BANDS), 2)))
-    fine = leaders(again.select("id", F.explode(two).alias("key"))).join(first.select("a", "b"), ["a", "b"], "left_anti")
-    second = stage(verify(fine, rep_docs, weights, similarity), "verified")
+    fine = leaders(again.select("id", F.explode(two).alias("key"))).join(pairs, ["a", "b"], "left_anti")
+    second = stage(verify(fine, texts, weights, similarity), "verified")
     found = components(first.unionByName(second).where("linked"))
-    drop_stage(first)
-    drop_stage(second)
+    for done in (pairs, texts, first, second, reps):
+        drop_stage(done)
 
     classes = text_rep.join(found, F.col("rep") == F.col("id"), "left").select("seq", F.coalesce("class", "rep").alias("class_id"))
     worded = signed.select("doc_id", "seq").join(classes, "seq").select("doc_id", "class_id").distinct()

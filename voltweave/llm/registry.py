@@ -1,8 +1,9 @@
 """Queries of the operators of this subpackage, and their oracle SQL where SQL can express them."""
 
-from . import ann, decontam, html_extract, license_scan, line_dedup, packing, quality, token_counts, toxicity
+from . import ann, decontam, html_extract, license_scan, line_dedup, minhash, packing, quality, token_counts, toxicity
 
 QUERIES = {
+    "op1_minhash_dedup": minhash.op1_minhash_dedup,
     "op2_quality": quality.op2_quality,
     "op3_token_counts": token_counts.op3_token_counts,
     "op4_ann": ann.op4_ann,
