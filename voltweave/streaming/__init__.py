@@ -1,0 +1 @@
+"""Nothing here: no operator of this engine works on streams."""
