@@ -24,6 +24,7 @@ from __future__ import annotations
 import itertools
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +40,8 @@ MULTIPLIER = 0x9E3779B97F4A7C15
 INVERSE = pow(MULTIPLIER, -1, 1 << 64)
 #: Random parameters of the samples are drawn from tables of 2 ** TABLE entries.
 TABLE = 18
+#: Bits of the map of ids that keeps texts without partners out of the shuffle (4 MB).
+MAP_BITS = 25
 
 _RNG = np.random.default_rng(20240607)
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -211,6 +214,26 @@ def sign(docs: DataFrame, weights) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, seq long, bands array<long>")
 
 
+def among(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents whose doc_id is in ``ids``.
+
+    A bit map of hashed ids, of a size fixed by MAP_BITS, takes out nearly all others before texts are shuffled; a
+    full map lets more through, and the join decides in any case.
+    """
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << MAP_BITS))
+    longs = ids.select(slot.alias("s")).groupBy(F.shiftright("s", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(s & 63 as int))")).alias("b")).toArrow()
+    bits = np.zeros(1 << (MAP_BITS - 6), np.int64)
+    bits[longs.column("w").to_numpy()] = longs.column("b").to_numpy()
+    shared = docs.sparkSession.sparkContext.broadcast(bits.view(np.uint64))
+
+    @F.pandas_udf("boolean")
+    def maybe(s: pd.Series) -> pd.Series:
+        at = s.to_numpy()
+        return pd.Series((shared.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1)
+
+    return docs.where(maybe(slot)).join(ids, "doc_id", "left_semi")
+
+
 def leaders(keyed: DataFrame) -> DataFrame:
     """(a, b): each bucket's smallest id with each other member. Sizes of buckets do not matter: no member list is made."""
     least = keyed.groupBy("key").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
@@ -291,7 +314,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     pairs = stage(leaders(reps.select("id", F.explode("bands").alias("key"))), "pairs")
     # The texts that have partners are taken out once; finer buckets hold no others.
     involved = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = stage(docs.join(involved, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+    texts = stage(among(docs, stage(involved, "involved")).dropDuplicates(["doc_id"]), "texts")
     first = stage(verify(pairs, texts, weights, similarity), "verified")
     # Texts that a bucket brought together with a leader unlike them meet the others like that in finer buckets.
     unlike = first.where("not linked").select(F.col("b").alias("id")).distinct()
