@@ -40,6 +40,8 @@ MULTIPLIER = 0x9E3779B97F4A7C15
 INVERSE = pow(MULTIPLIER, -1, 1 << 64)
 #: Random parameters of the samples are drawn from tables of 2 ** TABLE entries.
 TABLE = 18
+#: Bytes of text that are made into shingles at a time: some fifty times as much memory is used for them.
+SLICE = 1 << 20
 #: Bits of the map of ids that keeps texts without partners out of the shuffle (4 MB).
 MAP_BITS = 25
 
@@ -115,7 +117,7 @@ def sketch(docs: DataFrame) -> tuple[np.ndarray, int]:
 
     def count(batches):
         total, n = np.zeros((SKETCH_ROWS, 1 << LOG), np.int64), 0
-        for batch in slices(batches):
+        for batch in slices(batches, most=SLICE):
             _, s, _, seq = vectors(as_bytes(batch.column("text")))
             n += int((seq > 0).sum())
             for r, c in enumerate(counters(s)):
@@ -201,7 +203,7 @@ def sign(docs: DataFrame, weights) -> DataFrame:
     """doc_id, seq (hash of the word sequence) and band keys of documents with words."""
 
     def run(batches):
-        for batch in slices(batches, most=2 << 20):
+        for batch in slices(batches, most=SLICE):
             texts = as_bytes(batch.column("text"))
             doc, s, count, seq = vectors(texts)
             some = np.unique(doc)
@@ -258,7 +260,7 @@ def verify(pairs: DataFrame, docs: DataFrame, weights, similarity: float, n_salt
 
     def run(batches):
         held, own = None, None
-        for batch in slices(batches, "t"):
+        for batch in slices(batches, "t", SLICE):
             doc, s, count, _ = vectors(as_bytes(batch.column("t")))
             cut = np.searchsorted(doc, np.arange(batch.num_rows + 1))
             rows = []
