@@ -15,41 +15,50 @@ VERTICES = "array<struct<x:double,y:double>>"
 GEOM = f"struct<type:string,parts:array<array<{VERTICES}>>>"
 
 
+def let(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often it is named."""
+    return F.transform(F.array(value), use)[0]
+
+
 def parse(text: Column) -> Column:
     """A GeoJSON geometry; null where it is none."""
-    got = F.from_json(text, "type string, coordinates string, geometries string")
-    kind, raw = F.lower(got["type"]), got["coordinates"]
+    return let(F.from_json(text, "type string, coordinates string, geometries string"), _parsed)
 
-    def at(depth: int) -> Column:
-        return F.from_json(F.concat(F.lit('{"c":'), raw, F.lit("}")), "c " + "array<" * depth + "double" + ">" * depth)["c"]
+
+def _parsed(got: Column) -> Column:
+    def at(depth: int, use) -> Column:
+        wrapped = F.concat(F.lit('{"c":'), got["coordinates"], F.lit("}"))
+        return let(F.from_json(wrapped, "c " + "array<" * depth + "double" + ">" * depth)["c"], use)
 
     def ok(v: Column) -> Column:
         return (F.size(v) >= 2) & v[0].isNotNull() & v[1].isNotNull()
 
-    def vertices(line: Column) -> Column:
-        return F.transform(line, lambda v: F.struct(v[0].alias("x"), v[1].alias("y")))
-
     def line(c: Column, least: int) -> Column:
-        return F.when((F.size(c) == 0) | ((F.size(c) >= least) & F.forall(c, ok)), vertices(c))
+        """Vertices of a line; null if they are too few or one is none. Empty coordinates are an empty line."""
+        good = (F.size(c) == 0) | ((F.size(c) >= least) & F.forall(c, ok))
+        return F.when(good, F.transform(c, lambda v: F.struct(v[0].alias("x"), v[1].alias("y"))))
 
     def whole(parts: Column) -> Column:
-        """Null if any line inside is null."""
-        return F.when(~F.exists(parts, lambda p: F.exists(p, lambda r: r.isNull())), F.filter(F.transform(parts, lambda p: F.filter(p, lambda r: F.size(r) > 0)), lambda p: F.size(p) > 0))
-
-    point = at(1)
-    parts = (
-        F.when(kind == "point", F.when(F.size(point) == 0, F.array().cast(f"array<array<{VERTICES}>>")).when(ok(point), F.array(F.array(vertices(F.array(point))))))
-        .when(kind == "linestring", whole(F.array(F.array(line(at(2), 2)))))
-        .when(kind == "multipoint", whole(F.transform(at(2), lambda v: F.array(line(F.array(v), 1)))))
-        .when(kind == "polygon", whole(F.array(F.transform(at(3), lambda r: line(r, 3)))))
-        .when(kind == "multilinestring", whole(F.transform(at(3), lambda r: F.array(line(r, 2)))))
-        .when(kind == "multipolygon", whole(F.transform(at(4), lambda p: F.transform(p, lambda r: line(r, 3)))))
-    )
-    name = F.lit(None).cast("string")
-    for t in TYPES:
-        name = F.when(kind == t.lower(), t).otherwise(name)
-    good = parts.isNotNull() | ((kind == "geometrycollection") & got["geometries"].isNotNull())
-    return F.when(good, F.struct(name.alias("type"), parts.alias("parts")))
+        """Null if any line inside is null; without empty lines and parts."""
+        some = lambda items: F.filter(items, lambda x: F.size(x) > 0)
+        return let(parts, lambda q: F.when(~F.exists(q, lambda p: F.exists(p, lambda r: r.isNull())), some(F.transform(q, some))))
+
+    def by_type(kind: Column) -> Column:
+        parts = (
+            F.when(kind == "point", at(1, lambda c: whole(F.when((F.size(c) == 0) | ok(c), F.array(F.array(line(F.filter(F.array(c), lambda v: F.size(v) > 0), 1)))))))
+            .when(kind == "linestring", at(2, lambda c: whole(F.when(c.isNotNull(), F.array(F.array(line(c, 2)))))))
+            .when(kind == "multipoint", at(2, lambda c: whole(F.transform(c, lambda v: F.array(line(F.array(v), 1))))))
+            .when(kind == "polygon", at(3, lambda c: whole(F.when(c.isNotNull(), F.array(F.transform(c, lambda r: line(r, 3)))))))
+            .when(kind == "multilinestring", at(3, lambda c: whole(F.transform(c, lambda r: F.array(line(r, 2))))))
+            .when(kind == "multipolygon", at(4, lambda c: whole(F.transform(c, lambda p: F.transform(p, lambda r: line(r, 3))))))
+        )
+        name = F.lit(None).cast("string")
+        for t in TYPES:
+            name = F.when(kind == t.lower(), t).otherwise(name)
+        collection = (kind == "geometrycollection") & got["geometries"].isNotNull()
+        return let(parts, lambda p: F.when(p.isNotNull() | collection, F.struct(name.alias("type"), p.alias("parts"))))
+
+    return let(F.lower(got["type"]), by_type)
 
 
 def original_coordinates(text: Column) -> Column:
@@ -114,44 +123,61 @@ def contains(rings: Column, px: Column, py: Column) -> Column:
     return F.aggregate(crossings, F.lit(0), lambda a, x: a + x) % 2 == 1
 
 
-def _sum(items: Column) -> Column:
-    return F.aggregate(items, F.lit(0.0), lambda a, x: a + x)
+def centroid(geom: Column) -> tuple[Column, Column]:
+    """Planar centroid: of areas (holes taken off), else by length of lines, else of points; of a Point itself."""
+    c = F.when(geom["type"] == "Point", geom["parts"][0][0][0]).otherwise(_centroid(geom))
+    return c["x"], c["y"]
 
 
-def centroid(geom: Column) -> tuple[Column, Column]:
-    """Planar centroid: of areas (holes taken off), else by length of lines, else of points."""
-    points = F.flatten(F.flatten(geom["parts"]))
-    n = F.size(points)
-    segs = all_segments(geom)
+def _mean(items: Column, weight, x, y) -> Column:
+    """struct(x, y): means of x and y weighted by ``weight``; null where the weights add up to nothing."""
+    zero = F.struct(F.lit(0.0).alias("w"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
+
+    def add(t: Column, i: Column) -> Column:
+        return let(weight(i), lambda w: F.struct((t["w"] + w).alias("w"), (t["x"] + w * x(i)).alias("x"), (t["y"] + w * y(i)).alias("y")))
+
+    def finish(t: Column) -> Column:
+        w = F.nullif(t["w"], F.lit(0.0))
+        return F.when(w.isNotNull(), F.struct((t["x"] / w).alias("x"), (t["y"] / w).alias("y")))
+
+    return F.aggregate(items, zero, add, finish)
+
+
+def _centroid(geom: Column) -> Column:
+    half = lambda k: lambda s: (s["a"][k] + s["b"][k]) / 2
     length = lambda s: point_distance(s["a"]["x"], s["a"]["y"], s["b"]["x"], s["b"]["y"])
-    total = _sum(F.transform(segs, length))
-    # Areas relative to the first vertex, which keeps digits; a ring's sign goes by its place, not its direction.
-    ox, oy = points[0]["x"], points[0]["y"]
+    points = F.flatten(F.flatten(geom["parts"]))
+    by_point = _mean(points, lambda v: F.lit(1.0), lambda v: v["x"], lambda v: v["y"])
+    by_length = _mean(all_segments(geom), length, half("x"), half("y"))
+
+    # Areas relative to the geometry's first vertex, which keeps digits.
+    def area_and_moments(ring: Column, o: Column) -> Column:
+        zero = F.struct(*(F.lit(0.0).alias(k) for k in ("area", "mx", "my")))
+
+        def add(t: Column, q: Column) -> Column:
+            ax, ay, bx, by = q["a"]["x"] - o["x"], q["a"]["y"] - o["y"], q["b"]["x"] - o["x"], q["b"]["y"] - o["y"]
+            return let(ax * by - bx * ay, lambda c: F.struct((t["area"] + c / 2).alias("area"), (t["mx"] + c * (ax + bx) / 6).alias("mx"), (t["my"] + c * (ay + by) / 6).alias("my")))
 
-    def moments(ring: Column) -> Column:
-        s = segments(closed(ring))
-        cross = lambda q: (q["a"]["x"] - ox) * (q["b"]["y"] - oy) - (q["b"]["x"] - ox) * (q["a"]["y"] - oy)
-        area = _sum(F.transform(s, cross)) / 2
-        mx = _sum(F.transform(s, lambda q: cross(q) * (q["a"]["x"] + q["b"]["x"] - 2 * ox))) / 6
-        my = _sum(F.transform(s, lambda q: cross(q) * (q["a"]["y"] + q["b"]["y"] - 2 * oy))) / 6
-        sign = F.when(area < 0, -1.0).otherwise(1.0)
-        return F.struct((area * sign).alias("area"), (mx * sign).alias("mx"), (my * sign).alias("my"))
+        return F.aggregate(segments(closed(ring)), zero, add)
 
-    rings = F.flatten(F.transform(geom["parts"], lambda p: F.transform(p, lambda r, i: F.struct(moments(r).alias("m"), F.when(i == 0, 1.0).otherwise(-1.0).alias("s")))))
+    def signed(ring: Column, i: Column, o: Column) -> Column:
+        """A ring's part in the sum goes by its place (the first is the outline), not by its direction."""
 
-    def moment(k: str) -> Column:
-        return _sum(F.transform(rings, lambda r: r["m"][k] * r["s"]))
+        def turn(m: Column) -> Column:
+            s = F.when((m["area"] < 0) == (i == 0), -1.0).otherwise(1.0)
+            return F.struct((m["area"] * s).alias("area"), (m["mx"] * s).alias("mx"), (m["my"] * s).alias("my"))
 
-    area = moment("area")
+        return let(area_and_moments(ring, o), turn)
 
-    def middle(axis: str, o: Column, m: Column) -> Column:
-        by_area = o + m / F.nullif(area, F.lit(0.0))
-        by_length = _sum(F.transform(segs, lambda s: length(s) * (s["a"][axis] + s["b"][axis]) / 2)) / F.nullif(total, F.lit(0.0))
-        by_point = _sum(F.transform(points, lambda v: v[axis])) / F.nullif(n, F.lit(0))
-        lined = F.when(geom["type"].isin("Point", "MultiPoint") | (total == 0), by_point).otherwise(by_length)
-        return F.when(n > 0, F.when(is_area(geom) & (area > 0), by_area).otherwise(lined))
+    def by_area(o: Column) -> Column:
+        rings = F.flatten(F.transform(geom["parts"], lambda p: F.transform(p, lambda r, i: signed(r, i, o))))
+        zero = F.struct(*(F.lit(0.0).alias(k) for k in ("area", "mx", "my")))
+        add = lambda t, m: F.struct(*((t[k] + m[k]).alias(k) for k in ("area", "mx", "my")))
+        finish = lambda t: F.when(t["area"] > 0, F.struct((o["x"] + t["mx"] / F.nullif(t["area"], F.lit(0.0))).alias("x"), (o["y"] + t["my"] / F.nullif(t["area"], F.lit(0.0))).alias("y")))
+        return F.aggregate(rings, zero, add, finish)
 
-    return middle("x", ox, moment("mx")), middle("y", oy, moment("my"))
+    area = F.when(is_area(geom), let(points[0], by_area))
+    return F.when(F.size(points) > 0, F.coalesce(area, F.when(geom["type"] != "MultiPoint", by_length), by_point))
 
 
 # Text -----------------------------------------------------------------------------------------
@@ -170,31 +196,33 @@ def number_text(n: Column) -> Column:
 
 def wkt(text: Column) -> Column:
     """Well-known text of a GeoJSON geometry, 2-D; null for other types, no coordinates, or text that is none."""
-    got = F.from_json(text, "type string, coordinates string")
+    return let(F.from_json(text, "type string, coordinates string"), _wkt)
+
+
+def _wkt(got: Column) -> Column:
     kind = F.upper(got["type"])
 
     def at(depth: int) -> Column:
         return F.from_json(F.concat(F.lit('{"c":'), got["coordinates"], F.lit("}")), "c " + "array<" * depth + "string" + ">" * depth)["c"]
 
+    def bracketed(inner: Column, head: str = "") -> Column:
+        """head(inner); null if inner is empty."""
+        return let(inner, lambda t: F.when(F.length(t) > 0, F.concat(F.lit(f"{head}("), t, F.lit(")"))))
+
+    def joined(items: Column) -> Column:
+        return F.array_join(F.array_compact(items), ", ")
+
     pair = lambda v: F.concat_ws(" ", number_text(v[0]), number_text(v[1]))
     long = lambda line: F.filter(line, lambda v: F.size(v) >= 2)
     line = lambda c: F.array_join(F.transform(long(c), pair), ", ")
-    some = lambda items: F.filter(items, lambda x: F.length(x) > 0)
-    ring = lambda c: F.when(F.length(line(c)) > 0, F.concat(F.lit("("), line(c), F.lit(")"))).otherwise("")
-    rings = lambda c: F.array_join(some(F.transform(c, ring)), ", ")
-
-    def named(name: str, inner: Column) -> Column:
-        return F.when((kind == name) & (F.length(inner) > 0), F.concat(F.lit(f"{name}("), inner, F.lit(")")))
-
-    point = at(1)
-    area = lambda p: F.when(F.length(rings(p)) > 0, F.concat(F.lit("("), rings(p), F.lit(")"))).otherwise("")
-    return F.coalesce(
-        F.when((kind == "POINT") & (F.size(point) >= 2), F.concat(F.lit("POINT("), pair(point), F.lit(")"))),
-        named("LINESTRING", line(at(2))),
-        named("POLYGON", rings(at(3))),
-        named("MULTIPOINT", F.array_join(F.transform(long(at(2)), lambda v: F.concat(F.lit("("), pair(v), F.lit(")"))), ", ")),
-        named("MULTILINESTRING", rings(at(3))),
-        named("MULTIPOLYGON", F.array_join(some(F.transform(at(4), area)), ", ")),
+    rings = lambda c: joined(F.transform(c, lambda r: bracketed(line(r))))
+    return (
+        F.when(kind == "POINT", let(at(1), lambda c: F.when(F.size(c) >= 2, F.concat(F.lit("POINT("), pair(c), F.lit(")")))))
+        .when(kind == "LINESTRING", bracketed(line(at(2)), "LINESTRING"))
+        .when(kind == "POLYGON", bracketed(rings(at(3)), "POLYGON"))
+        .when(kind == "MULTIPOINT", bracketed(joined(F.transform(long(at(2)), lambda v: bracketed(pair(v)))), "MULTIPOINT"))
+        .when(kind == "MULTILINESTRING", bracketed(rings(at(3)), "MULTILINESTRING"))
+        .when(kind == "MULTIPOLYGON", bracketed(joined(F.transform(at(4), lambda p: bracketed(rings(p)))), "MULTIPOLYGON"))
     )
 
 
