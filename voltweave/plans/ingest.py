@@ -31,7 +31,7 @@ def load_file(spark: SparkSession, path: str, places: config.Places) -> dict:
         features = S.explode_features(layers.read_geojson(spark, path)).select("position", "feature")
         if features.isEmpty():
             raise ValueError(f"no features in {path}")
-        if not features.where(F.schema_of_variant(F.try_parse_json("feature")) == "VOID").isEmpty():
+        if not features.where(F.coalesce(F.col("feature"), F.lit("null")) == "null").isEmpty():
             raise ValueError(f"a null feature in {path}")
         name = f"{places.database}.{file_table(spark, path)}"
         sinks.replace_table(S.flatten(features, S.infer_schema(features)), name)

@@ -50,7 +50,12 @@ def process(spark: SparkSession, features: DataFrame, folder: str, mark: str, re
     pending = [k for k in config.LAYERS if k not in saved]
     parts = list(saved.values())
     if pending:
-        done = connections(features)
+        done, fresh = connections(features), f"{folder}/.fresh"
+        try:  # all layers are one job; what it wrote is then dealt to the layers
+            done.where(F.col("layer").isin(pending)).write.mode("overwrite").parquet(fresh)
+            done = spark.read.parquet(fresh)
+        except Exception as e:  # noqa: BLE001
+            log(f"layers are tried one by one: {e}")
         for k in pending:
             try:
                 sinks.save_checkpoint(done.where(F.col("layer") == k), folder, k, mark)
@@ -58,6 +63,7 @@ def process(spark: SparkSession, features: DataFrame, folder: str, mark: str, re
             except Exception as e:  # noqa: BLE001
                 log(f"layer {k} failed: {e}")
                 parts.append(features.where(F.col("layer") == k).withColumn("connections", F.array().cast("array<string>")))
+        files.delete(spark, fresh)
     return layers.union(parts)
 
 

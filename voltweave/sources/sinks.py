@@ -74,16 +74,16 @@ def save_checkpoint(df: DataFrame, folder: str, layer: str, fingerprint: str) ->
     """A layer's result with the fingerprint of the inputs that it came from; the mark is written last."""
     path = f"{folder}/{layer}"
     df.write.mode("overwrite").parquet(path)
-    files.write_text(df.sparkSession, f"{path}/_fingerprint", fingerprint)
+    files.write_text(df.sparkSession, f"{path}.fingerprint", fingerprint)
 
 
 def load_checkpoint(spark: SparkSession, folder: str, layer: str, fingerprint: str | None = None) -> DataFrame | None:
     """A layer's saved result; None where there is none, it can't be read, or came from other inputs."""
     path = f"{folder}/{layer}"
     try:
-        if not files.exists(spark, f"{path}/_fingerprint"):
+        if not files.exists(spark, f"{path}.fingerprint"):
             return None
-        if fingerprint is not None and files.read_text(spark, f"{path}/_fingerprint") != fingerprint:
+        if fingerprint is not None and files.read_text(spark, f"{path}.fingerprint") != fingerprint:
             return None
         df = spark.read.parquet(path)
         df.limit(1).count()
@@ -100,6 +100,8 @@ def saved_layers(spark: SparkSession, folder: str, fingerprint: str | None = Non
 def clean_checkpoints(spark: SparkSession, folder: str) -> int:
     """Deletes every layer's saved result and the folder if nothing else is in it; returns how many there were."""
     n = sum(files.exists(spark, f"{folder}/{k}") and files.delete(spark, f"{folder}/{k}") for k in config.LAYERS)
+    for k in config.LAYERS:
+        files.delete(spark, f"{folder}/{k}.fingerprint")
     p, fs = files._path(spark, folder)
     if fs.exists(p) and not fs.listStatus(p):
         fs.delete(p, False)
