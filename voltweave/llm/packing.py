@@ -20,6 +20,7 @@ remainder; rows with equal or null doc_id are packed each; ties rank by doc_id,
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Callable
@@ -54,14 +55,23 @@ class ByteEncoder:
         import tiktoken
         from tokenizers import Tokenizer
 
-        self.exact = Tokenizer.from_file(tokenizer)
-        self.special = [str(t.content).encode() for t in self.exact.get_added_tokens_decoder().values()]
+        self.load = lambda: Tokenizer.from_file(tokenizer)
+        self.loaded = None
+        with open(tokenizer, encoding="utf-8") as f:
+            self.special = [t["content"].encode() for t in json.load(f)["added_tokens"]]
         self.fast = None
         if ranks:
             with open(ranks, "rb") as f:
                 vocabulary = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
             self.fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=vocabulary, special_tokens={})
-        self.other = re.compile(rb"[\xca-\xff]|" + b"|".join(map(re.escape, self.special)))
+        self.other = re.compile(rb"[\xca-\xff]|" + b"|".join(map(re.escape, self.special or [b"\xff"])))
+
+    @property
+    def exact(self):
+        """The library's tokenizer, loaded when the first text asks for it."""
+        if self.loaded is None:
+            self.loaded = self.load()
+        return self.loaded
 
     def ids(self, text: bytes) -> list[int]:
         s = text.decode("utf-8", "replace")
