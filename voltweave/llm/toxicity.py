@@ -84,16 +84,15 @@ def _lettered(word: str) -> str:
 
 
 def tokens(text: str) -> list[str]:
-    """Folded words: letters, and signs that stand for letters within a word; edge signs are dropped."""
+    """Folded words: letters, and signs that stand for letters in it; signs at its end, and ! and | at its start, are dropped."""
     out = []
     for raw in text.translate(BREAKS).split():
         if raw.isalpha():
             out.append(raw)
             continue
-        word = raw.rstrip("!|").lstrip("!|")
-        core = word.strip("$@")
-        if any(c.isalpha() for c in core):
-            out.append(_lettered(core if word.strip("$@").isalpha() else word))
+        word = raw.strip("!|").rstrip("!|$@")
+        if any(c.isalpha() for c in word):
+            out.append(word if word.isalpha() else _lettered(word))
     return out
 
 
