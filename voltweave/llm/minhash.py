@@ -42,6 +42,8 @@ INVERSE = pow(MULTIPLIER, -1, 1 << 64)
 TABLE = 18
 #: Bytes of text that are made into shingles at a time: some fifty times as much memory is used for them.
 SLICE = 1 << 20
+#: A class's size meets its documents in so many groups.
+CLASS_SALTS = 32
 #: Bits of the map of ids that keeps texts without partners out of the shuffle (4 MB).
 MAP_BITS = 25
 
@@ -333,8 +335,11 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     every = docs.select("doc_id").distinct().join(worded.withColumnRenamed("doc_id", "__id"), F.col("doc_id") == F.col("__id"), "left")
     every = every.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
     every = every.groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
-    size = every.groupBy("class_id").agg(F.count("*").alias("n_class"))
-    return every.join(size, "class_id").select("doc_id", "class_id", "n_class")
+    # A class may hold a third of all documents: its size is sent to several salts, and only sizes over one are sent.
+    size = every.groupBy("class_id").agg(F.count("*").alias("n_class")).where("n_class > 1")
+    size = size.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(CLASS_SALTS - 1))))
+    every = every.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(CLASS_SALTS)).cast("int"))
+    return every.join(size, ["class_id", "salt"], "left").select("doc_id", "class_id", F.coalesce("n_class", F.lit(1).cast("long")).alias("n_class"))
 
 
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
