@@ -83,3 +83,22 @@ def test_components(spark):
     links = [(i, i + 1) for i in range(0, 60) if i != 30] + [(100, 7), (5, 5)]
     got = {r.id: r["class"] for r in M.components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(1, 31)}, **{i: 31 for i in range(32, 61)}, 100: 0}
+
+
+def test_original_without_the_smallest_id(spark, make_docs):
+    """Copies are like the original alone, which is only a member of the buckets that copies lead."""
+    rng = random.Random(4)
+    texts, groups = [], 10
+    for g in range(groups):
+        one = text(rng, 300).split()
+        copies = []
+        for k in range(6):  # scattered edits, at other places in each copy
+            w = list(one)
+            for j in range(6):
+                w[10 + 47 * j + 7 * k] = f"edit{g}x{k}x{j}"
+            copies.append(" ".join(w))
+        group = copies[: (3, 6)[g % 2]] + [" ".join(one)] + copies[(3, 6)[g % 2] :]
+        assert all(plain(c, " ".join(one)) > 0.805 for c in copies) and plain(copies[0], copies[1]) < 0.7
+        texts += group
+    got = classes(make_docs(texts))
+    assert all(got[i] == (i // 7 * 7, 7) for i in range(7 * groups))

@@ -9,10 +9,12 @@ document frequency. Similarity is the weighted Jaccard similarity, and documents
    size, and a passage that very many documents share weighs little without making large groups of copies dissimilar.
 2. Documents with the same sequence of words are one text: they are reduced to the smallest doc_id.
 3. Each distinct text gets ``BANDS`` x ``ROWS`` consistent weighted samples, banded into bucket keys. In a bucket
-   texts are compared with its leader (the smallest id), not with each other. Texts that share a bucket but don't match its leader
-   are compared again in the finer buckets that two bands together make, whose members agree far more, so that
-   those similar to each other and not to the leader are linked too.
-4. Pairs are verified by exact weighted Jaccard similarity; a leader's text goes once to each task that has its partners.
+   texts are compared with its leader (the smallest id) first, by exact weighted Jaccard similarity; a leader's text goes
+   once to each task that has its partners. In a bucket of more than ``BLOCK`` texts that holds several classes then, the
+   largest id is a second leader.
+4. Buckets that still hold texts of several classes are compared in full, cell by cell: every pair that shares a bucket is in one
+   class or verified. Buckets with the same members are one. A bucket's largest class meets the others, and the others
+   each other, in blocks of texts, two to a cell, so that no pair is a row and a large bucket is many tasks' work.
 5. Links are joined into classes by alternating large-star and small-star steps, cut by written tables.
 
 Edge cases: a text of one to four words is one shingle; texts without words (null, empty, symbols) are like
@@ -21,8 +23,6 @@ nothing, each a class of its own; repeated doc_id rows are one document; null do
 
 from __future__ import annotations
 
-import itertools
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -44,6 +44,8 @@ TABLE = 18
 SLICE = 1 << 20
 #: A class's size meets its documents in so many groups.
 CLASS_SALTS = 32
+#: Texts, and distinct shingles, of a block of a bucket that is compared in full (on average: blocks are dealt by hash).
+BLOCK, BLOCK_SHINGLES = 512, 1_500_000
 #: Bits of the map of ids that keeps texts without partners out of the shuffle (4 MB).
 MAP_BITS = 25
 
@@ -202,7 +204,7 @@ def bands(signature: np.ndarray) -> np.ndarray:
 
 
 def sign(docs: DataFrame, weights) -> DataFrame:
-    """doc_id, seq (hash of the word sequence) and band keys of documents with words."""
+    """doc_id, seq (hash of the word sequence), band keys and number of distinct shingles of documents with words."""
 
     def run(batches):
         for batch in slices(batches, most=SLICE):
@@ -213,9 +215,9 @@ def sign(docs: DataFrame, weights) -> DataFrame:
                 continue
             keys = bands(samples(doc, s, count * idf(weights.value, s), len(texts)))
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, BANDS), pa.int32()), pa.array(keys.ravel().view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(some)), pa.array(seq[some].view(np.int64)), lists], names=["doc_id", "seq", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(some)), pa.array(seq[some].view(np.int64)), lists, pa.array(np.bincount(doc)[some])], names=["doc_id", "seq", "bands", "size"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, seq long, bands array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, seq long, bands array<long>, size long")
 
 
 def among(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -278,6 +280,108 @@ def verify(pairs: DataFrame, docs: DataFrame, weights, similarity: float, n_salt
     return dealt.mapInArrow(run, "a long, b long, similarity double").withColumn("linked", F.col("similarity") >= similarity)
 
 
+def undecided(reps: DataFrame, classes: DataFrame) -> DataFrame:
+    """(key, id, size, class) of buckets' members other than the leader, where these are of several classes."""
+    keyed = reps.select("id", "size", F.explode("bands").alias("key"))
+    least = keyed.groupBy("key").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 2").drop("n")
+    of = classes.select(F.col("id").alias("__id"), "class")
+    members = keyed.join(least, "key").where("id <> a").join(of, F.col("id") == F.col("__id"), "left")
+    members = members.select("key", "id", "size", F.coalesce("class", "id").alias("class"))
+    several = members.groupBy("key").agg(F.min("class").alias("c0"), F.max("class").alias("c1")).where("c0 <> c1").select("key")
+    return members.join(several, "key", "left_semi")
+
+
+def cells(members: DataFrame) -> DataFrame:
+    """(key, kind, i, j, side, id, class): the cells in which a bucket's members meet. Members of side -1 meet all, others those of the other side."""
+    of = members.groupBy("key", "class").agg(F.count("*").alias("n"), F.sum("size").alias("m"), *(F.bit_xor(F.xxhash64("id", F.lit(x))).alias(f"h{x}") for x in (0, 1)))
+    buckets = of.groupBy("key").agg(
+        F.max_by("class", F.struct("n", "class")).alias("main"), F.max(F.struct("n", "class", "m")).alias("most"),
+        F.sum("n").alias("n"), F.sum("m").alias("m"), F.bit_xor("h0").alias("h0"), F.bit_xor("h1").alias("h1"),
+    )
+    blocks = lambda n, m: F.ceil(F.greatest(n / BLOCK, m / BLOCK_SHINGLES, F.lit(1))).cast("int")
+    buckets = buckets.select("key", "main", "n", "h0", "h1", blocks(F.col("most.n"), F.col("most.m")).alias("bm"), blocks(F.col("n") - F.col("most.n"), F.col("m") - F.col("most.m")).alias("bo"))
+    # Buckets with the same members are one.
+    buckets = buckets.groupBy("n", "h0", "h1").agg(F.min_by(F.struct("key", "main", "bm", "bo"), "key").alias("x")).select("x.*")
+    cell = lambda kind, i, j, side: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"), side.cast("int").alias("side"))
+    upto = lambda n: F.sequence(F.lit(0), n - 1)
+    zero, p, q = F.lit(0), F.col("p"), F.col("q")
+    with_main = F.transform(upto(F.col("bo")), lambda j: cell(1, q, j, F.lit(0)))
+    other = F.concat(
+        F.transform(upto(F.col("bm")), lambda i: cell(1, i, p, F.lit(1))),
+        F.transform(upto(F.col("bo")), lambda j: cell(2, F.least(p, j), F.greatest(p, j), F.when(j == p, -1).when(p < j, 0).otherwise(1))),
+    )
+    at = lambda b: F.pmod(F.xxhash64("id"), F.col(b)).cast("int")
+    dealt = members.join(buckets, "key").withColumn("p", at("bo")).withColumn("q", at("bm"))
+    where = F.when((F.col("bm") == 1) & (F.col("bo") == 1), F.array(cell(0, zero, zero, F.lit(-1)))).when(F.col("class") == F.col("main"), with_main).otherwise(other)
+    return dealt.select("key", "id", "class", F.explode(where).alias("c")).select("key", "c.*", "id", "class")
+
+
+def links_of_cell(ids: list[int], classes: list[int], sides: list[int], vectors_: list, weights: np.ndarray, similarity: float) -> list[tuple[int, int]]:
+    """Links (a, b) that join the classes of a cell's members as all pairs of them would.
+
+    Pairs of one class, of one side, and of total weights too far apart for the similarity are left out: they add nothing.
+    One text is held against all others left at once.
+    """
+    if min(classes) == max(classes):
+        return []
+    count = np.concatenate([c for _, c in vectors_]).astype(np.float64)
+    shingle = np.concatenate([s for s, _ in vectors_])
+    weight = idf(weights, shingle).astype(np.float64)
+    size = np.array([len(s) for s, _ in vectors_])
+    start = np.concatenate(([0], np.cumsum(size)))
+    whole = np.add.reduceat(count * weight, start[:-1])
+    local = np.unique(shingle, return_inverse=True)[1]
+    dense = np.zeros(int(local.max()) + 1)
+    root, side = np.unique(np.array(classes), return_inverse=True)[1], np.array(sides)
+    out = []
+    for i in range(len(ids) - 1):
+        low_, high = whole[i] * similarity * (1 - 1e-9), whole[i] / similarity * (1 + 1e-9)
+        rest = slice(i + 1, None)
+        left = i + 1 + np.flatnonzero((root[rest] != root[i]) & ((side[rest] < 0) | (side[rest] != side[i])) & (whole[rest] >= low_) & (whole[rest] <= high))
+        if not len(left):
+            continue
+        own = slice(start[i], start[i + 1])
+        dense[local[own]] = count[own]
+        ends = np.cumsum(size[left])
+        at = np.arange(ends[-1]) + np.repeat(start[left] - (ends - size[left]), size[left])
+        low = np.add.reduceat(np.minimum(count[at], dense[local[at]]) * weight[at], ends - size[left])
+        dense[local[own]] = 0
+        for j in left[low / (whole[i] + whole[left] - low) >= similarity]:
+            if root[i] != root[j]:
+                out.append((ids[i], ids[j]))
+                root[root == root[j]] = root[i]
+    return out
+
+
+def compare_in_full(members: DataFrame, texts: DataFrame, weights, similarity: float) -> DataFrame:
+    """Links (a, b) among ``members`` (of :func:`undecided`): each pair that shares a bucket is in one class or compared."""
+    cell = ["key", "kind", "i", "j"]
+    dealt = cells(members).join(texts.select("doc_id", F.col("text").alias("t")), F.col("id") == F.col("doc_id")).drop("doc_id")
+    dealt = dealt.repartition(*cell).sortWithinPartitions(*cell)
+
+    def run(batches):
+        name, held = None, ([], [], [], [])
+
+        def done():
+            found = links_of_cell(*held, weights.value, similarity) if len(held[0]) > 1 else []
+            a, b = zip(*found, strict=True) if found else ((), ())
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+        for batch in slices(batches, "t", SLICE):
+            doc, s, count, _ = vectors(as_bytes(batch.column("t")))
+            cut = np.searchsorted(doc, np.arange(batch.num_rows + 1))
+            names = zip(*(batch.column(c).to_pylist() for c in cell), strict=True)
+            for i, (new, *row) in enumerate(zip(names, *(batch.column(c).to_pylist() for c in ("id", "class", "side")), strict=True)):
+                if new != name:
+                    yield done()
+                    name, held = new, ([], [], [], [])
+                for x, to in zip((*row, (s[cut[i] : cut[i + 1]].copy(), count[cut[i] : cut[i + 1]].copy())), held, strict=True):
+                    to.append(x)
+        yield done()
+
+    return dealt.mapInArrow(run, "a long, b long")
+
+
 def components(links: DataFrame, most: int = 60) -> DataFrame:
     """(id, class): the smallest id of each node's component, by large-star and small-star steps."""
     edges = stage(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "links")
@@ -313,21 +417,32 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     signed = stage(sign(docs, weights), "signed")
     # One representative for each sequence of words: the smallest id.
     text_rep = signed.groupBy("seq").agg(F.min("doc_id").alias("rep"))
-    reps = stage(signed.groupBy("seq").agg(F.min_by("bands", "doc_id").alias("bands"), F.min("doc_id").alias("id")).select("id", "bands"), "reps")
+    reps = stage(signed.groupBy("seq").agg(F.min_by("bands", "doc_id").alias("bands"), F.min_by("size", "doc_id").alias("size"), F.min("doc_id").alias("id")).select("id", "bands", "size"), "reps")
 
     pairs = stage(leaders(reps.select("id", F.explode("bands").alias("key"))), "pairs")
-    # The texts that have partners are taken out once; finer buckets hold no others.
+    # The texts that have partners are taken out once.
     involved = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     texts = stage(among(docs, stage(involved, "involved")).dropDuplicates(["doc_id"]), "texts")
-    first = stage(verify(pairs, texts, weights, similarity), "verified")
-    # Texts that a bucket brought together with a leader unlike them meet the others like that in finer buckets.
-    unlike = first.where("not linked").select(F.col("b").alias("id")).distinct()
-    again = reps.join(unlike, "id", "left_semi")
-    two = F.array(*(F.xxhash64(F.col("bands")[i], F.col("bands")[j], F.lit(i * BANDS + j)) for i, j in itertools.combinations(range(BANDS), 2)))
-    fine = leaders(again.select("id", F.explode(two).alias("key"))).join(pairs, ["a", "b"], "left_anti")
-    second = stage(verify(fine, texts, weights, similarity), "verified")
-    found = components(first.unionByName(second).where("linked"))
-    for done in (pairs, texts, first, second, reps):
+    first = stage(verify(pairs, texts, weights, similarity).where("linked").select("a", "b"), "verified")
+    used = [pairs, texts, first, reps]
+    found = components(first)
+    members = stage(undecided(reps, found), "members")
+    used.append(members)
+    # A second leader makes most of a large group of copies one class, and the comparison in full short. It leaves nothing out.
+    large = members.groupBy("key").agg(F.max("id").alias("a"), F.max_by("class", "id").alias("ac"), F.count("*").alias("n")).where(F.col("n") > BLOCK).drop("n")
+    more = stage(members.join(large, "key").where("class <> ac").select("a", F.col("id").alias("b")).distinct(), "pairs")
+    used.append(more)
+    if more.limit(1).count():
+        second = stage(verify(more, texts, weights, similarity).where("linked").select("a", "b"), "verified")
+        found = components(first.unionByName(second))
+        members = stage(undecided(reps, found), "members")
+        used += [second, members]
+    if members.limit(1).count():
+        third = stage(compare_in_full(members, texts, weights, similarity), "verified")
+        used.append(third)
+        if third.limit(1).count():
+            found = components(found.select(F.col("id").alias("a"), F.col("class").alias("b")).unionByName(third))
+    for done in used:
         drop_stage(done)
 
     classes = text_rep.join(found, F.col("rep") == F.col("id"), "left").select("seq", F.coalesce("class", "rep").alias("class_id"))
