@@ -34,3 +34,73 @@ def test_edge_cases(spark, make_docs):
     assert L.scan(make_docs([])).collect() == []
     extra = L.scan(make_docs(["the mit license"]).selectExpr("*", "1 AS rules_", "2 AS known"))
     assert extra.first().known == 2
+
+
+MIT = """The MIT License (MIT)
+
+Copyright (c) 2015 A. Author
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY.
+"""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice,
+   this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+3. Neither the name of the copyright holder nor the names of its contributors
+   may be used to endorse or promote products derived from this software
+   without specific prior written permission."""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies."""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+
+
+def test_published_texts_as_wrapped(spark, make_docs):
+    comment = lambda mark, t: "\n".join(f"{mark} {line}" for line in t.splitlines())
+    texts = [MIT, APACHE, GPL, BSD, ISC, MPL]
+    want = [["MIT"], ["Apache-2.0"], ["GPL-3.0"], ["BSD-3-Clause"], ["ISC"], ["MPL-2.0"]]
+    got = scan(spark, make_docs, texts + [comment("#", t) for t in texts] + ["/*\n" + comment(" *", t) + "\n */\nint main;" for t in texts] + [t.replace("\n", "\r\n") for t in texts])
+    assert [g[2] for g in got] == want * 4
+    assert got[0][0] == ["mit-grant", "mit-condition", "mit-warranty"]
+    assert got[1][0] == ["apache-2-note", "apache-terms", "apache-copy", "apache-warranty"]
+    assert got[2][0] == ["gpl-free", "gpl-hope"] and got[5][0] == ["mpl-2-note"]
+    assert scan(spark, make_docs, ["not\nreleased under the\nMIT license", "the MIT\nlicense is"])[1] == ([], [], [])

@@ -1,14 +1,18 @@
 """Licence scan by sentence rules (operator 8), with SQL functions only.
 
-Texts are cut into sentences and these normalised (lower case, everything but ASCII letters and
-digits is one space). A fixed table maps normalised sentences to licence-sentence
-identifiers; every document becomes the sequence of the identifiers it holds. Ordered rules are matched against the
+Texts are cut into pieces at line feeds and end marks and these normalised (lower case, everything but ASCII letters and
+digits is one space). A fixed table maps normalised sentences to licence-sentence identifiers. A sentence is found where a
+run of whole pieces, joined, equals it: so wrapped lines, comment marks of signs (``#``, ``//``, ``*``), and marks within
+a sentence ("free software: you", "v. 2.0") do not hide it. Of sentences that begin at one piece the longest counts, and
+the next begins behind it. Every document becomes the sequence of the identifiers it holds. Ordered rules are matched against the
 sequence: a rule names identifiers that must follow each other in its order, with any others between them,
 and the licence they prove; a licence whose rule another's contains gives way to it.
 
 Everything is expressions over one row: no join, no shuffle, no Python on the executors.
 
-Edge cases: null and empty texts have no sentences and no licence; sentences longer than any rule's are looked
+The SQL below cuts at line feeds and marks and joins nothing: it holds for texts whose licence sentences are single pieces.
+
+Edge cases: comment marks of letters (``rem``, ``dnl``) at the head of wrapped lines are words and hide a sentence; null and empty texts have no sentences and no licence; sentences longer than any rule's are looked
 up like others and found nowhere; repeated rows are each scanned; extra columns pass through.
 """
 
@@ -88,9 +92,10 @@ RULES: tuple[tuple[str, str, tuple[str, ...]], ...] = (
 )
 OVERRIDES = {"BSD-2-Clause": "BSD-3-Clause"}
 
-#: A sentence ends at a line feed, or at . ! ? ; : before white space or the end.
+#: A piece ends at a line feed, or at . ! ? ; : before white space or the end.
 _END = r"\n|[.!?;:]+(?=\s|$)"
-_OTHER = "[^a-z0-9]+"
+#: The sentences over normalised text, in which a space parts words and a line feed pieces; the longer first.
+_KNOWN = "(?m)^(?:" + "|".join(s.replace(" ", "[ \\n]") for s in sorted((s for texts in SENTENCES.values() for s in texts), key=len, reverse=True)) + ")$"
 #: Every licence sentence has a word with one of these; a text without any needs no cutting. Normalising keeps words whole.
 STEMS = ("licens", "softw", "redistrib", "warrant", "reserved")
 assert all(any(x in s for x in STEMS) for texts in SENTENCES.values() for s in texts)
@@ -101,9 +106,10 @@ def sentence_ids(text: Column) -> Column:
     known = F.create_map(*(F.lit(x) for k, texts in SENTENCES.items() for s in texts for x in (s, k)))
     low = F.lower(text)
     some = "|".join(STEMS)
-    candidates = F.filter(F.split(low, _END), lambda s: s.rlike(some))
-    found = F.transform(candidates, lambda s: known[F.trim(F.regexp_replace(s, _OTHER, " "))])
-    return F.when(low.rlike(some), F.filter(found, lambda k: k.isNotNull())).otherwise(F.array().cast("array<string>"))
+    pieces = F.regexp_replace(F.regexp_replace(low, _END, "\n"), "[^a-z0-9\n]+", " ")
+    pieces = F.trim(F.regexp_replace(pieces, " ?\n[ \n]*", "\n"))
+    found = F.transform(F.regexp_extract_all(pieces, F.lit(_KNOWN), F.lit(0)), lambda s: known[F.translate(s, "\n", " ")])
+    return F.when(low.rlike(some), found).otherwise(F.array().cast("array<string>"))
 
 
 def matched(ids: Column) -> Column:
