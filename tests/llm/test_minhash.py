@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from voltweave.llm import minhash as M
 
@@ -102,3 +103,34 @@ def test_original_without_the_smallest_id(spark, make_docs):
         texts += group
     got = classes(make_docs(texts))
     assert all(got[i] == (i // 7 * 7, 7) for i in range(7 * groups))
+
+
+@pytest.mark.parametrize("block", [M.BLOCK, 16])
+def test_pairs_within_a_family_of_unlike_texts(spark, make_docs, monkeypatch, block):
+    """Texts that share a template are unlike each other; their copies are found whichever leaders their buckets have."""
+    monkeypatch.setattr(M, "BLOCK", block)
+    rng = random.Random(6)
+    template, texts = text(rng, 300).split(), []
+    for i in range(240):
+        w = list(template)
+        at = rng.randrange(0, 282)
+        w[at : at + 18] = text(rng, 18).split()
+        texts.append(" ".join(w))
+        if i % 5 == 0:
+            for e in range(3):
+                w[(at + 60 + 45 * e) % 290] = f"edit{i}x{e}"
+            texts.append(" ".join(w))
+    rng.shuffle(texts)
+    df = make_docs(texts)
+    weights = M.weights_of(*M.sketch(df))
+    doc, s, count, _ = M.vectors([t.encode() for t in texts])
+    keys = M.bands(M.samples(doc, s, count * M.idf(weights, s), len(texts)))
+    v = [(s[doc == i], count[doc == i]) for i in range(len(texts))]
+    together = [(i, j) for i in range(len(texts)) for j in range(i) if (keys[i] == keys[j]).any()]
+    like = [(i, j) for i, j in together if M.jaccard(v[i], v[j], weights) >= M.SIMILARITY]
+    want = list(range(len(texts)))
+    for i, j in like:
+        want = [min(want[i], want[j]) if c in (want[i], want[j]) else c for c in want]
+    got = classes(df)
+    assert len(together) > 500 * len(like) and len(like) >= 48
+    assert [got[i][0] for i in range(len(texts))] == want
