@@ -1,7 +1,11 @@
-"""What the operators of this subpackage share: table access, stage tables, batches, hashes."""
+"""What the operators of this subpackage share: table access, stage tables, batches, hashes.
+
+Column names that begin with two underscores are the operators' own.
+"""
 
 from __future__ import annotations
 
+import atexit
 import contextlib
 import ctypes
 import gc
@@ -17,6 +21,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 PACKAGE_ROOT = Path(__file__).resolve().parents[2]
 #: Texts are handed to vectorised code in slices of about this many bytes, so that a
@@ -37,13 +43,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Where it is unset (tests, a single machine) a temporary folder is made and set.
+    Where it is unset a temporary folder is made and set on a single machine; on a cluster that is an error.
     """
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
         jvm_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
         where = jvm_dir.get() if jvm_dir.isDefined() else None
     if not where:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("spark.checkpoint.dir is not set: executors of a cluster share no other folder")
         where = tempfile.mkdtemp(prefix="voltweave-")
         spark.sparkContext.setCheckpointDir(where)
     return where.rstrip("/")
@@ -53,6 +61,9 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` to a new table in the shared folder and reads it back: lineage ends here."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if not _LEFT:
+        atexit.register(_drop_all)
+    _LEFT[path] = spark
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._voltweave_path = path
@@ -61,10 +72,23 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 def drop_stage(df: DataFrame) -> None:
     """Deletes a table made by :func:`stage` that nothing reads any more."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(df._voltweave_path)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _drop(df.sparkSession, df._voltweave_path)
+
+
+def _drop(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    _LEFT.pop(path, None)
+
+
+#: Stage tables that are not deleted yet: those that a result still reads go when the driver ends.
+_LEFT: dict[str, SparkSession] = {}
+
+
+def _drop_all() -> None:
+    for path, spark in list(_LEFT.items()):
+        with contextlib.suppress(Exception):  # the session may have ended
+            _drop(spark, path)
 
 
 def ship(spark: SparkSession) -> None:
@@ -82,6 +106,22 @@ def ship(spark: SparkSession) -> None:
     sc._voltweave_shipped = True
 
 
+def quoted(name: str):
+    """A column by its exact name, dots and quotes included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` less the columns of these names (in any case): an operator's results replace them."""
+    gone = {x.lower() for x in names}
+    return df.select(*(quoted(x) for x in df.columns if x.lower() not in gone))
+
+
+def schema_of(df: DataFrame, more: str, less: str = "") -> StructType:
+    """The schema of ``df`` without column ``less``, followed by the columns that the DDL text ``more`` names."""
+    return StructType([f for f in df.schema.fields if f.name != less] + StructType.fromDDL(more).fields)
+
+
 def as_bytes(column: pa.Array) -> list[bytes]:
     """Values of a string column as UTF-8 bytes; null gives b""."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ship, slices, table
+from .common import schema_of, ship, slices, table, without
 
 MAX_DEPTH = 200
 TREES, DEPTH, RATE, BINS = 40, 4, 0.3, 32
@@ -467,6 +467,7 @@ def extract_page(page: str, forest: Forest) -> str:
 def extract(pages: DataFrame, forest: Forest | None = None) -> DataFrame:
     """``pages`` without html, with text and n_chars."""
     ship(pages.sparkSession)
+    pages = without(pages, "text", "n_chars")
     forest = forest or train()
     names = [x for x in pages.columns if x != "html"]
 
@@ -478,8 +479,7 @@ def extract(pages: DataFrame, forest: Forest | None = None) -> DataFrame:
             texts = ["\n\n".join(blocks(t[0], decode(t, odds[e - len(t) : e]))) for t, e in zip(trees, ends, strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in names), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=[*names, "text", "n_chars"])
 
-    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in pages.schema.fields if f.name != "html")
-    return pages.mapInArrow(run, f"{fields}text string, n_chars long")
+    return pages.mapInArrow(run, schema_of(pages, "text string, n_chars long", "html"))
 
 
 def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:

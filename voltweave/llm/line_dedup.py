@@ -11,7 +11,8 @@
 
 Edge cases: a null or empty text is one empty line; null doc_id counts as a document and sorts
 below every other; repeated doc_id rows are one document for counting, and each row is
-returned; columns other than doc_id and text are passed through by :func:`dedup_lines`.
+returned; columns other than doc_id and text are passed through by :func:`dedup_lines`, but for n_lines and n_dropped,
+which the results replace.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import as_bytes, code_points, drop_stage, mix64, ship, slices, stage, table
+from .common import as_bytes, code_points, drop_stage, mix64, schema_of, ship, slices, stage, table, without
 
 MIN_CHARS, MIN_DOCS = 40, 5
 SHARD_KEYS = 200_000
@@ -161,7 +162,7 @@ def probe_shards(shards: dict[int, ShardIndex], n_shards: int, h1: np.ndarray, h
     return n, keep
 
 
-def without(text: bytes, dropped: set[int]) -> tuple[bytes, int]:
+def kept_lines(text: bytes, dropped: set[int]) -> tuple[bytes, int]:
     lines = text.split(b"\n")
     return (b"\n".join(x for i, x in enumerate(lines) if i not in dropped) if dropped else text), len(lines)
 
@@ -169,7 +170,7 @@ def without(text: bytes, dropped: set[int]) -> tuple[bytes, int]:
 def _rewrite(batch: pa.RecordBatch, drops: list[set[int]]) -> pa.RecordBatch:
     kept, n_lines = [], []
     for text, dropped in zip(as_bytes(batch.column("text")), drops, strict=True):
-        k, n = without(text, dropped)
+        k, n = kept_lines(text, dropped)
         kept.append(k)
         n_lines.append(n)
     names = [x for x in batch.schema.names if x not in ("text", "__drop")]
@@ -179,9 +180,7 @@ def _rewrite(batch: pa.RecordBatch, drops: list[set[int]]) -> pa.RecordBatch:
     )
 
 
-def _schema(docs: DataFrame) -> str:
-    rest = [f for f in docs.schema.fields if f.name not in ("text", "__drop")]
-    return ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rest), "text string, n_lines long, n_dropped long"])
+RESULTS = "text string, n_lines long, n_dropped long"
 
 
 def _probe_broadcast(docs: DataFrame, shards: DataFrame, n_shards: int, min_chars: int) -> DataFrame:
@@ -204,26 +203,29 @@ def _probe_broadcast(docs: DataFrame, shards: DataFrame, n_shards: int, min_char
                 drops[owner[j]].add(line[j])
             yield _rewrite(batch, drops)
 
-    return docs.mapInArrow(probe, _schema(docs))
+    return docs.mapInArrow(probe, schema_of(docs, RESULTS, "text"))
 
 
 def _probe_routed(docs: DataFrame, shards: DataFrame, n_shards: int, n_salts: int, min_chars: int) -> DataFrame:
-    """As :func:`_probe_broadcast` for an index of any size: a task holds one shard at a time."""
+    """As :func:`_probe_broadcast` for an index of any size: a task holds one shard at a time.
+
+    A row is known by its doc_id and a hash of its text: rows that repeat a doc_id are decided each for itself.
+    """
+    docs = docs.withColumn("__text", F.xxhash64("text"))
 
     def hashes(batches):
         for batch in slices(batches):
-            rows = [(d, i, h) for d, t in zip(batch.column("doc_id").to_pylist(), as_bytes(batch.column("text")), strict=True) for i, h in long_keys(t, min_chars)]
+            rows, ids, marks = [], batch.column("doc_id").to_pylist(), batch.column("__text").to_pylist()
+            for d, x, t in zip(ids, marks, as_bytes(batch.column("text")), strict=True):
+                rows += [(d, x, i, h) for i, h in long_keys(t, min_chars)]
             h1, h2 = split_hash([h for *_, h in rows])
-            number = h1.view(np.int64) % n_shards
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(number), pa.array([d for d, *_ in rows], pa.int64()), pa.array([i for _, i, _ in rows], pa.int64()), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64))],
-                names=["shard", "doc_id", "line", "h1", "h2"],
-            )
+            own = [pa.array([r[j] for r in rows], pa.int64()) for j in range(3)]
+            yield pa.RecordBatch.from_arrays([pa.array(h1.view(np.int64) % n_shards), *own, pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64))], names=["shard", "doc_id", "__text", "line", "h1", "h2"])
 
-    probes = docs.select("doc_id", "text").mapInArrow(hashes, "shard long, doc_id long, line long, h1 long, h2 long")
-    probes = probes.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(n_salts))).withColumn("index", F.lit(None).cast("binary"))
+    probes = docs.select("doc_id", "text", "__text").mapInArrow(hashes, "shard long, doc_id long, __text long, line long, h1 long, h2 long")
+    probes = probes.withColumn("salt", F.pmod(F.xxhash64("doc_id", "__text"), F.lit(n_salts))).withColumn("index", F.lit(None).cast("binary"))
     copies = shards.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_salts - 1).cast("long"))))
-    copies = copies.select("shard", *(F.lit(None).cast("long").alias(x) for x in ("doc_id", "line", "h1", "h2")), "salt", "index")
+    copies = copies.select("shard", *(F.lit(None).cast("long").alias(x) for x in ("doc_id", "__text", "line", "h1", "h2")), "salt", "index")
     dealt = probes.unionByName(copies).repartition("shard", "salt").sortWithinPartitions("shard", "salt", F.col("index").isNull())
 
     def look_up(batches):
@@ -245,16 +247,17 @@ def _probe_routed(docs: DataFrame, shards: DataFrame, n_shards: int, n_salts: in
                 n, keep = index.probe(h1, h2)
                 doc = part.column("doc_id").fill_null(NULL_ID).to_numpy(zero_copy_only=False)
                 hit = part.filter(pa.array((n > 0) & (keep != doc)))
-                yield pa.RecordBatch.from_arrays([hit.column("doc_id"), hit.column("line")], names=["doc_id", "line"])
+                yield pa.RecordBatch.from_arrays([hit.column(x) for x in ("doc_id", "__text", "line")], names=["doc_id", "__text", "line"])
 
-    hits = dealt.mapInArrow(look_up, "doc_id long, line long").groupBy("doc_id").agg(F.collect_set("line").alias("__drop"))
-    joined = docs.join(hits.withColumnRenamed("doc_id", "__id"), F.col("doc_id").eqNullSafe(F.col("__id")), "left").drop("__id")
+    hits = dealt.mapInArrow(look_up, "doc_id long, __text long, line long").groupBy("doc_id", "__text").agg(F.collect_set("line").alias("__drop"))
+    hits = hits.withColumnsRenamed({"doc_id": "__id", "__text": "__of"})
+    joined = docs.join(hits, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__of")), "left").drop("__id", "__of", "__text")
 
     def rewrite(batches):
         for batch in slices(batches):
             yield _rewrite(batch, [set(x or ()) for x in batch.column("__drop").to_pylist()])
 
-    return joined.mapInArrow(rewrite, _schema(joined))
+    return joined.mapInArrow(rewrite, schema_of(joined.drop("__drop"), RESULTS, "text"))
 
 
 def dedup_lines(
@@ -264,8 +267,9 @@ def dedup_lines(
     shard_keys: int = SHARD_KEYS,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """``docs`` with repeated lines taken out of ``text``, and with n_lines and n_dropped."""
+    """``docs`` with repeated lines taken out of ``text`` (put last), and with n_lines and n_dropped."""
     ship(docs.sparkSession)
+    docs = without(docs, "n_lines", "n_dropped")
     keys = stage(count_keys(docs, min_chars, min_docs), "line-keys")
     n_keys = keys.count()
     n_shards = max(1, -(-n_keys // shard_keys))

@@ -8,7 +8,8 @@ the learned rows. The score is a logistic function of the difference of log dens
 distances with Cholesky factors that are made once.
 
 Edge cases: null and empty texts have the statistics of a text of no characters; without labels of
-both classes every score is the prior's (one half); repeated rows are each scored.
+both classes every score is the prior's (one half); repeated rows are each scored; other columns pass through, but for
+stats and score, which the results replace. A row without doc_id is never learned from and counts as not held out.
 """
 
 from __future__ import annotations
@@ -22,13 +23,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD_TABLE, as_bytes, drop_stage, ship, slices, stage, table
+from .common import WORD_TABLE, as_bytes, quoted, schema_of, ship, slices, stage, table, without
 
 THRESHOLD = 0.7
 NAMES = (
     "size", "upper", "digit", "symbol", "exclaim", "bar", "stop", "space", "beyond_ascii", "word_length", "variety",
     "top_word", "repeated_pair", "lines", "line_length", "repeated_line", "compressed", "marked_words", "long_words", "sentence",
 )
+#: At most so many labelled rows tune the amount of shrinkage and the logistic scale.
+TUNING_ROWS = 4000
 SHRINK = (0.05, 0.15, 0.3, 0.5, 0.8)
 
 _UPPER = np.zeros(256, bool)
@@ -96,6 +99,7 @@ def statistics(text: bytes) -> list[float]:
 def measure(docs: DataFrame) -> DataFrame:
     """``docs`` without text, with the vector of statistics."""
     ship(docs.sparkSession)
+    docs = without(docs, "stats")
     names = [x for x in docs.columns if x != "text"]
 
     def run(batches):
@@ -104,8 +108,7 @@ def measure(docs: DataFrame) -> DataFrame:
             vectors = pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, len(NAMES)), pa.int32()), pa.array(x.ravel()))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), vectors], names=[*names, "stats"])
 
-    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema.fields if f.name != "text")
-    return docs.mapInArrow(run, f"{fields}stats array<double>")
+    return docs.mapInArrow(run, schema_of(docs, "stats array<double>", "text"))
 
 
 @dataclass
@@ -173,8 +176,11 @@ def add_up(rows: DataFrame) -> dict[tuple[int, int], tuple[float, np.ndarray, np
     return {k: (m[0], m[1 : width + 1], m.reshape(width + 1, width + 1)[1:, 1:]) for k, m in out.items()}
 
 
-def learn(measured: DataFrame, labels: DataFrame, use) -> Discriminant | None:
-    """A discriminant from the rows of ``labels`` that ``use`` selects by doc_id; None without both classes."""
+def learn(measured: DataFrame, labels: DataFrame, use, tuning_rows: int = TUNING_ROWS) -> Discriminant | None:
+    """A discriminant from the rows of ``labels`` that ``use`` selects by doc_id; None without both classes.
+
+    Its sums are over all labelled rows; the amount of shrinkage and the logistic scale come from at most ``tuning_rows``.
+    """
     y = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & use(F.col("doc_id")))
     y = y.select("doc_id", F.col("quality").cast("int").alias("y")).dropDuplicates(["doc_id"])
     rows = measured.select("doc_id", "stats").join(y, "doc_id").withColumn("fold", F.pmod(F.xxhash64("doc_id"), F.lit(5)).cast("int")).select("y", "fold", "stats", "doc_id")
@@ -187,7 +193,7 @@ def learn(measured: DataFrame, labels: DataFrame, use) -> Discriminant | None:
     if len(whole) < 2 or len(most) < 2 or min(s[0] for s in most.values()) < 3:
         return None
     # The fold that tunes the amount of shrinkage and the logistic scale: a bounded sample of it is enough for two numbers.
-    tuning = rows.where(F.col("fold") == 0).orderBy(F.xxhash64("doc_id", F.lit(1))).limit(4000).select("y", "stats").toPandas()
+    tuning = rows.where(F.col("fold") == 0).orderBy(F.xxhash64("doc_id", F.lit(1)), "stats").limit(tuning_rows).select("y", "stats").toPandas()
     if tuning.y.nunique() < 2:
         return shrunk(whole, 0.3)
     x, t = np.stack(tuning.stats.to_numpy()), tuning.y.to_numpy()
@@ -219,21 +225,21 @@ def scale(d: np.ndarray, y: np.ndarray, ridge: float = 0.01) -> tuple[float, flo
 
 def score_quality(measured: DataFrame, model: Discriminant | None) -> DataFrame:
     """``measured`` without its statistics, with score."""
+    measured = without(measured, "score")
     names = [x for x in measured.columns if x != "stats"]
 
-    def run(frames):
-        for f in frames:
-            x = np.stack(f.stats.to_numpy()) if len(f) else np.zeros((0, len(NAMES)))
-            yield f[names].assign(score=model.score(x))
+    def run(batches):
+        for batch in batches:
+            x = np.asarray(batch.column("stats").flatten()).reshape(-1, len(NAMES))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(model.score(x), pa.float64())], names=[*names, "score"])
 
     if model is None:
-        return measured.select(*names, F.lit(0.5).alias("score"))
-    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in measured.schema.fields if f.name != "stats")
-    return measured.mapInPandas(run, f"{fields}score double")
+        return measured.select(*map(quoted, names), F.lit(0.5).alias("score"))
+    return measured.mapInArrow(run, schema_of(measured, "score double", "stats"))
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     remainder = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4))
     measured = stage(measure(table(spark, sf_dir, "documents").select("doc_id", "text")), "quality-stats")
     model = learn(measured, table(spark, sf_dir, "labels"), lambda c: remainder != 2)
-    return score_quality(measured, model).select("doc_id", (remainder == 2).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+    return score_quality(measured, model).select("doc_id", F.coalesce(remainder == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

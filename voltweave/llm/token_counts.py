@@ -11,7 +11,8 @@ character), or on either side of a line feed (no piece holds one). Both are chec
 the loaded vocabulary; a model for which neither holds has its texts encoded whole.
 
 Edge cases: a null or empty text has 0 bytes and 0 tokens; strings of special tokens inside a text are
-ordinary text, as the library treats them; each row of a repeated document is counted.
+ordinary text, as the library treats them; each row of a repeated document is counted; other columns pass through, but
+for n_bytes, n_tokens and over_limit, which the results replace.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import as_bytes, ship, slices, table
+from .common import as_bytes, schema_of, ship, slices, table, without
 
 LIMIT = 4096
 HUGE_BYTES, CHUNK_BYTES, OVERLAP_BYTES = 1 << 16, 1 << 15, 1 << 9
@@ -99,8 +100,9 @@ def _encoder(path: str, cache: dict = {}) -> PieceEncoder:  # noqa: B006  one fo
 def count_tokens(
     docs: DataFrame, model: str, limit: int = LIMIT, huge_bytes: int = HUGE_BYTES, chunk: int = CHUNK_BYTES, overlap: int = OVERLAP_BYTES
 ) -> DataFrame:
-    """``docs`` with n_bytes, n_tokens and over_limit (more than ``limit`` tokens)."""
+    """``docs`` with n_bytes, n_tokens and over_limit (more than ``limit`` tokens) in place of text."""
     ship(docs.sparkSession)
+    docs = without(docs, "n_bytes", "n_tokens", "over_limit")
     names = [x for x in docs.columns if x != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,8 +120,7 @@ def count_tokens(
                 names=[*names, "n_bytes", "n_tokens", "over_limit"],
             )
 
-    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema.fields if f.name != "text")
-    return docs.mapInArrow(run, f"{fields}n_bytes long, n_tokens long, over_limit boolean")
+    return docs.mapInArrow(run, schema_of(docs, "n_bytes long, n_tokens long, over_limit boolean", "text"))
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
