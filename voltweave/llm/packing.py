@@ -15,7 +15,8 @@ Nothing that reaches the driver or a broadcast grows with the corpus: the histog
 the slot table are bounded by ``size``.
 
 Edge cases: a null or empty text is its end id alone; a document of exactly k * ``size`` ids has no
-remainder; rows with equal or null doc_id are packed each; ties rank by doc_id, then checksum.
+remainder; rows with equal or null doc_id are packed each; ties rank by doc_id, then checksum. Only doc_id and text are
+read: other columns, of any name, are left out.
 """
 
 from __future__ import annotations
@@ -23,7 +24,6 @@ from __future__ import annotations
 import json
 import re
 import zlib
-from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -34,9 +34,12 @@ from pyspark.sql import functions as F
 from .common import as_bytes, drop_stage, ship, slices, stage, table
 
 SIZE, END_ID = 2048, 1
+#: Columns are generated until the proven gap is this small, or so many have been: the last plan is whole in any case.
 GAP, MAX_COLUMNS = 0.0005, 600
 GROUP_ROWS = 2000
 TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
+_BLANK = np.zeros(256, bool)
+_BLANK[[*range(9, 14), *range(0x1C, 0x21), 0x85, 0xA0, 0xC2]] = True
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -45,9 +48,13 @@ class ByteEncoder:
 
     Texts of characters up to U+027F go through tiktoken with the same vocabulary, which gives the same
     ids several times faster (tests compare the two libraries character class by character class);
-    all others, and texts that hold a special token's string, through tokenizers itself.
+    all others, texts that hold a special token's string, and long texts with a long run of white space (on which
+    tiktoken's pattern overflows) through tokenizers itself.
     """
 
+    #: Bytes, and white space in one run, up to which tiktoken's pattern is far from its limit of a million steps.
+    SAFE_BYTES, SAFE_RUN = 1 << 17, 1 << 12
+
     def __init__(self, tokenizer: str, ranks: str | None):
         import base64
 
@@ -73,9 +80,16 @@ class ByteEncoder:
             self.loaded = self.load()
         return self.loaded
 
+    def blank(self, text: bytes) -> bool:
+        """Whether a long text has a run of over SAFE_RUN bytes that white space is made of."""
+        if len(text) <= self.SAFE_BYTES:
+            return False
+        ink = np.flatnonzero(~_BLANK[np.frombuffer(text, np.uint8)])
+        return int(np.diff(ink, prepend=-1, append=len(text)).max()) > self.SAFE_RUN
+
     def ids(self, text: bytes) -> list[int]:
         s = text.decode("utf-8", "replace")
-        if self.fast is None or self.other.search(text):
+        if self.fast is None or self.other.search(text) or self.blank(text):
             return self.exact.encode(s, add_special_tokens=False).ids
         return self.fast.encode_ordinary(s)
 
@@ -316,6 +330,3 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), public_tokenizers.path(RANKS))
-
-
-Packer = Callable[[DataFrame], DataFrame]
