@@ -3,10 +3,10 @@
 A document is the multiset of its shingles of five words; a shingle weighs its count times an inverse
 document frequency. Similarity is the weighted Jaccard similarity, and documents are linked at 0.8 or more.
 
-1. Document frequencies of all shingles of all documents go into a count sketch of fixed size (rows of
-   counters, the least of which bounds a shingle's frequency from above). The weight depends on the share of documents
-   alone: ``1 - DAMP * log(share / FLOOR) / log(1 / FLOOR)`` above FLOOR, else 1; so it is alike at every
-   size, and a passage that very many documents share weighs little without making large groups of copies dissimilar.
+1. Document frequencies of all shingles of all documents go into a count sketch of fixed size: rows of
+   counters, less what other shingles add to a counter on average; the least counter of a shingle is its frequency. The weight
+   depends on the share of documents alone: ``1 - DAMP * log(share / FLOOR) / log(1 / FLOOR)`` above FLOOR, else 1; so it is alike at
+   every size, and a passage that very many documents share weighs little without making large groups of copies dissimilar.
 2. Documents with the same sequence of words are one text: they are reduced to the smallest doc_id.
 3. Each distinct text gets ``BANDS`` x ``ROWS`` consistent weighted samples, banded into bucket keys. In a bucket
    texts are compared with its leader (the smallest id) first, by exact weighted Jaccard similarity; a leader's text goes
@@ -18,7 +18,8 @@ document frequency. Similarity is the weighted Jaccard similarity, and documents
 5. Links are joined into classes by alternating large-star and small-star steps, cut by written tables.
 
 Edge cases: a text of one to four words is one shingle; texts without words (null, empty, symbols) are like
-nothing, each a class of its own; repeated doc_id rows are one document; null doc_ids take no part and are not returned.
+nothing, each a class of its own; rows that repeat a doc_id are one document, whose text is the one of the least hash; null
+doc_ids take no part and are not returned. Only doc_id and text are read: other columns, of any name, are left out.
 """
 
 from __future__ import annotations
@@ -152,7 +153,9 @@ def sketch(docs: DataFrame) -> tuple[np.ndarray, int]:
 
 def weights_of(total: np.ndarray, n: int) -> np.ndarray:
     """Inverse document frequency by counter, as float32; larger for rarer shingles."""
-    share = np.maximum(total, 1) / max(n, 1)
+    # A counter holds its share of all other shingles too: their mean is taken off.
+    others = (total.sum(1, keepdims=True) - total) / (total.shape[1] - 1)
+    share = np.maximum(total - others, 1) / max(n, 1)
     rare = 1 - DAMP * np.log(np.maximum(share, FLOOR) / FLOOR) / np.log(1 / FLOOR)
     return rare.clip(1 - DAMP, 1).astype(np.float32)
 
@@ -204,20 +207,23 @@ def bands(signature: np.ndarray) -> np.ndarray:
 
 
 def sign(docs: DataFrame, weights) -> DataFrame:
-    """doc_id, seq (hash of the word sequence), band keys and number of distinct shingles of documents with words."""
+    """doc_id, h (hash of the text), seq (hash of the word sequence; null without words), band keys, number of distinct shingles."""
 
     def run(batches):
         for batch in slices(batches, most=SLICE):
             texts = as_bytes(batch.column("text"))
             doc, s, count, seq = vectors(texts)
             some = np.unique(doc)
-            if not len(some):
-                continue
-            keys = bands(samples(doc, s, count * idf(weights.value, s), len(texts)))
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, BANDS), pa.int32()), pa.array(keys.ravel().view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(some)), pa.array(seq[some].view(np.int64)), lists, pa.array(np.bincount(doc)[some])], names=["doc_id", "seq", "bands", "size"])
+            signature = samples(doc, s, count * idf(weights.value, s), len(texts)) if len(some) else np.zeros((0, BANDS * ROWS), np.uint32)
+            held = np.zeros(len(texts), bool)
+            held[some] = True
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(held * BANDS))), pa.int32()), pa.array(bands(signature).ravel().view(np.int64)))
+            sizes = np.bincount(doc, minlength=len(texts))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("h"), pa.array(seq.view(np.int64), mask=~held), lists, pa.array(sizes, pa.int64())], names=["doc_id", "h", "seq", "bands", "size"]
+            )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, seq long, bands array<long>, size long")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("h")).mapInArrow(run, "doc_id long, h long, seq long, bands array<long>, size long")
 
 
 def among(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -383,7 +389,10 @@ def compare_in_full(members: DataFrame, texts: DataFrame, weights, similarity: f
 
 
 def components(links: DataFrame, most: int = 60) -> DataFrame:
-    """(id, class): the smallest id of each node's component, by large-star and small-star steps."""
+    """(id, class): the smallest id of each node's component, by large-star and small-star steps.
+
+    Each round shortens the longest chain by half or so; ``most`` rounds are far more than any number of ids needs, and an error else.
+    """
     edges = stage(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "links")
     for _ in range(most):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -404,57 +413,67 @@ def components(links: DataFrame, most: int = 60) -> DataFrame:
             break
     else:
         raise RuntimeError("components did not settle")
-    return edges.select(F.col("u").alias("id"), F.col("v").alias("class"))
+    out = edges.select(F.col("u").alias("id"), F.col("v").alias("class"))
+    out._voltweave_path = edges._voltweave_path
+    return out
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, class_id (the class's smallest doc_id) and n_class (its documents) of each document of ``docs``."""
     spark = docs.sparkSession
     ship(spark)
-    docs = docs.where(F.col("doc_id").isNotNull())
-    total, n = sketch(docs)
-    weights = spark.sparkContext.broadcast(weights_of(total, n))
+    docs = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    weights = spark.sparkContext.broadcast(weights_of(*sketch(docs)))
     signed = stage(sign(docs, weights), "signed")
-    # One representative for each sequence of words: the smallest id.
-    text_rep = signed.groupBy("seq").agg(F.min("doc_id").alias("rep"))
-    reps = stage(signed.groupBy("seq").agg(F.min_by("bands", "doc_id").alias("bands"), F.min_by("size", "doc_id").alias("size"), F.min("doc_id").alias("id")).select("id", "bands", "size"), "reps")
+    if not signed.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        rows, signed = signed, stage(signed.groupBy("doc_id").agg(F.min(F.struct("h", "seq", "bands", "size")).alias("x")).select("doc_id", "x.*"), "signed")
+        drop_stage(rows)
+    # One representative for each sequence of words: the smallest id. Equal sequences have equal bands.
+    worded = signed.where("seq IS NOT NULL").groupBy("seq")
+    reps = stage(worded.agg(F.min("doc_id").alias("id"), F.count("*").alias("n"), F.first("bands").alias("bands"), F.first("size").alias("size")), "reps")
 
     pairs = stage(leaders(reps.select("id", F.explode("bands").alias("key"))), "pairs")
     # The texts that have partners are taken out once.
-    involved = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = stage(among(docs, stage(involved, "involved")).dropDuplicates(["doc_id"]), "texts")
+    involved = stage(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "involved")
+    texts = stage(among(docs, involved).groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text")), "texts")
     first = stage(verify(pairs, texts, weights, similarity).where("linked").select("a", "b"), "verified")
-    used = [pairs, texts, first, reps]
+    used = [signed, reps, pairs, involved, texts, first]
     found = components(first)
     members = stage(undecided(reps, found), "members")
     used.append(members)
     # A second leader makes most of a large group of copies one class, and the comparison in full short. It leaves nothing out.
     large = members.groupBy("key").agg(F.max("id").alias("a"), F.max_by("class", "id").alias("ac"), F.count("*").alias("n")).where(F.col("n") > BLOCK).drop("n")
     more = stage(members.join(large, "key").where("class <> ac").select("a", F.col("id").alias("b")).distinct(), "pairs")
-    used.append(more)
-    if more.limit(1).count():
+    used += [more, found]
+    if not more.isEmpty():
         second = stage(verify(more, texts, weights, similarity).where("linked").select("a", "b"), "verified")
         found = components(first.unionByName(second))
         members = stage(undecided(reps, found), "members")
-        used += [second, members]
-    if members.limit(1).count():
+        used += [second, members, found]
+    if not members.isEmpty():
         third = stage(compare_in_full(members, texts, weights, similarity), "verified")
         used.append(third)
-        if third.limit(1).count():
+        if not third.isEmpty():
             found = components(found.select(F.col("id").alias("a"), F.col("class").alias("b")).unionByName(third))
+            used.append(found)
+    out = stage(spread(signed, reps, found), "classes")
     for done in used:
         drop_stage(done)
+    return out
+
 
-    classes = text_rep.join(found, F.col("rep") == F.col("id"), "left").select("seq", F.coalesce("class", "rep").alias("class_id"))
-    worded = signed.select("doc_id", "seq").join(classes, "seq").select("doc_id", "class_id").distinct()
-    every = docs.select("doc_id").distinct().join(worded.withColumnRenamed("doc_id", "__id"), F.col("doc_id") == F.col("__id"), "left")
-    every = every.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
-    every = every.groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
-    # A class may hold a third of all documents: its size is sent to several salts, and only sizes over one are sent.
-    size = every.groupBy("class_id").agg(F.count("*").alias("n_class")).where("n_class > 1")
+def spread(signed: DataFrame, reps: DataFrame, found: DataFrame) -> DataFrame:
+    """doc_id, class_id, n_class of every signed document, from the classes ``found`` of representatives."""
+    tied = reps.select("seq", "id", "n").join(found, "id", "left").select("seq", "n", F.coalesce("class", "id").alias("class_id"))
+    # A class may hold a third of all texts: its size is sent to several salts, and only sizes over one are sent.
+    size = tied.groupBy("class_id").agg(F.sum("n").alias("n_class")).where("n_class > 1")
     size = size.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(CLASS_SALTS - 1))))
-    every = every.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(CLASS_SALTS)).cast("int"))
-    return every.join(size, ["class_id", "salt"], "left").select("doc_id", "class_id", F.coalesce("n_class", F.lit(1).cast("long")).alias("n_class"))
+    salted = tied.withColumn("salt", F.pmod(F.xxhash64("seq"), F.lit(CLASS_SALTS)).cast("int"))
+    groups = salted.join(size, ["class_id", "salt"]).select("seq", "class_id", "n_class")
+    # A sequence may be that of a third of all documents: a join right below the write is one that Spark splits where it is uneven.
+    worded = signed.where("seq IS NOT NULL").select("doc_id", "seq").join(groups, "seq", "left")
+    worded = worded.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_class", F.lit(1).cast("long")).alias("n_class"))
+    return worded.unionByName(signed.where("seq IS NULL").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("n_class")))
 
 
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
