@@ -6,7 +6,7 @@ import re
 
 import numpy as np
 
-from voltweave.llm import decontam, line_dedup
+from voltweave.llm import common, decontam, line_dedup
 
 STRIP = " \t\n\x0b\x0c\r"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -87,14 +87,39 @@ def test_decontamination_against_brute_force(spark, make_docs):
     docs += [(60, None), (61, ""), (62, "Q, w; E r."), (63, "x " * 300 + items[0][1].upper()), (64, "q w e"), (65, "z " * 100_000)]
     bench = spark.createDataFrame(items, "item_id long, text string")
     want = contamination(docs, items)
-    for block in (200_000, 40):
-        got = decontam.decontaminate(make_docs([t for _, t in docs], [d for d, _ in docs]), bench, block_words=block).collect()
+    for kw in ({}, {"block_words": 40}, {"block_words": 40, "pass_blocks": 2}):
+        got = decontam.decontaminate(make_docs([t for _, t in docs], [d for d, _ in docs]), bench, **kw).collect()
         assert {r.doc_id: (r.n_words, r.n_hit, r.n_items, decontam.digest(r["items"]), r.contaminated) for r in got} == want
     clean = {r.doc_id: r.clean_text for r in got}
     assert clean[62] == "." and clean[60] == "" and clean[64] == "q w e"
     assert decontam.decontaminate(make_docs(["a b"]), bench.limit(0)).first().n_hit == 0
 
 
+def test_many_blocks_are_one_pass_and_leave_no_table(spark, make_docs):
+    rng = random.Random(5)
+    text = lambda n: " ".join(f"w{rng.randrange(900)}" for _ in range(n))
+    items = [(i, text(20)) for i in range(10)]
+    docs = [(i, text(30) + " " + items[i][1] + " " + text(9)) for i in range(10)] + [(10, items[3][1] + " . " + items[8][1]), (11, None)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert len(list(decontam.blocks(bench, 20))) == 10
+    df, want = make_docs([t for _, t in docs], [d for d, _ in docs]), contamination(docs, items)
+    for most, left in ((16, 0), (3, 1)):
+        before = set(common._LEFT)
+        out = decontam.decontaminate(df, bench, block_words=20, pass_blocks=most)
+        assert len(set(common._LEFT) - before) == left  # of several passes the last one's input is still read
+        got = {r.doc_id: (r.n_words, r.n_hit, r.n_items, decontam.digest(r["items"]), r.contaminated) for r in out.collect()}
+        assert got == want
+    assert decontam.decontaminate(df.limit(0), bench).collect() == []
+
+
+def test_routed_index_decides_each_row_of_a_doc_id(spark, make_docs):
+    line = "A line that stands in many documents, of over forty characters."
+    rows = [(i, line) for i in range(5)] + [(9, line), (9, "first\n" + line), (9, line + "\nlast"), (2, "own\n" + line), (None, "x\n" + line), (None, line)]
+    docs = make_docs([t for _, t in rows], [d for d, _ in rows])
+    plain, routed = (sorted(map(str, line_dedup.dedup_lines(docs, broadcast_bytes=b).collect())) for b in (1 << 20, 0))
+    assert plain == routed
+
+
 def test_single_word_items(spark, make_docs):
     bench = spark.createDataFrame([(1, "secret"), (2, "a b")], "item_id long, text string")
     got = decontam.decontaminate(make_docs(["x Secret y", "a b a", "none"]), bench).collect()
