@@ -9,7 +9,7 @@ distances with Cholesky factors that are made once.
 
 Edge cases: null and empty texts have the statistics of a text of no characters; without labels of
 both classes every score is the prior's (one half); repeated rows are each scored; other columns pass through, but for
-stats and score, which the results replace. A row without doc_id is never learned from and counts as not held out.
+stats and score, which the results replace. An id labelled twice has the larger label; a row without doc_id is never learned from and counts as not held out.
 """
 
 from __future__ import annotations
@@ -182,7 +182,7 @@ def learn(measured: DataFrame, labels: DataFrame, use, tuning_rows: int = TUNING
     Its sums are over all labelled rows; the amount of shrinkage and the logistic scale come from at most ``tuning_rows``.
     """
     y = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & use(F.col("doc_id")))
-    y = y.select("doc_id", F.col("quality").cast("int").alias("y")).dropDuplicates(["doc_id"])
+    y = y.groupBy("doc_id").agg(F.max("quality").cast("int").alias("y"))
     rows = measured.select("doc_id", "stats").join(y, "doc_id").withColumn("fold", F.pmod(F.xxhash64("doc_id"), F.lit(5)).cast("int")).select("y", "fold", "stats", "doc_id")
     sums = add_up(rows)
 

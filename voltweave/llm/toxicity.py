@@ -7,13 +7,16 @@ function of the weighted hits, their weight for each hundred words, and a consta
 
 Entries are whole words or stems (any word that begins with the stem), as labels show them.
 Learning: a bounded sample of labelled rows (``SAMPLE`` of each class, in the order of a hash of
-their id; near copies are reduced to one) gives for each stem and word how many rows of either
-class hold it. Entries are chosen one at a time: the one that explains most toxic rows that no chosen
+their id; of rows that repeat an id the one whose text has the least hash; near copies are reduced to one) gives for each stem and
+word how many rows of either class hold it. Entries are chosen one at a time: the one that explains most toxic rows that no chosen
 entry explains yet, less the clean rows it would mark, so that words which only stand beside insults do
-not enter. Seed words that no clean row holds enter with a prior weight. Exception phrases are a parameter.
+not enter. Seed words that no clean row holds enter with a prior weight. Exception phrases are a parameter. The
+coefficients are fitted on the rows as they are scored: by the automaton over whole texts, exception phrases included.
 
 Edge cases: null and empty texts have no hits and get the constant's score; without usable
-labels the seed lexicon and default coefficients are used; repeated rows are each scored.
+labels the seed lexicon and default coefficients are used; repeated rows are each scored; an id labelled twice has the larger
+label; a row without doc_id is never learned from and counts as not held out. Other columns pass through, but for score and
+toxic_weight, which the results replace.
 """
 
 from __future__ import annotations
@@ -32,11 +35,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ship, slices, table
+from .common import drop_stage, schema_of, ship, slices, stage, table, without
 
 THRESHOLD = 0.7
 #: At most so many labelled rows of each class are learned from.
 SAMPLE = 1500
+#: The lexicon has at most so many chosen entries, best first.
+ENTRIES = 200
 #: Insults that count even where the labels are too few to learn them, with the weight of a learned entry.
 SEED = (
     "asshole", "bastard", "bitch", "clown", "cretin", "disgusting", "dumbass", "filth", "idiot", "imbecile", "loser",
@@ -143,13 +148,14 @@ def crc_mod(n: int) -> Callable:
 
 
 def training(docs: DataFrame, labels: DataFrame, label: str, use) -> DataFrame:
-    """The bounded, deterministic sample: text and label of ``SAMPLE`` rows of each class."""
-    rows = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & use(F.col("doc_id"))).select("doc_id", F.col(label).alias("y")).dropDuplicates(["doc_id"])
+    """The bounded, deterministic sample: doc_id, text and label (y) of ``SAMPLE`` rows of each class."""
+    rows = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & use(F.col("doc_id"))).groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
     chosen = None
     for y in (0, 1):
         part = rows.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
         chosen = part if chosen is None else chosen.unionByName(part)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return found.groupBy("doc_id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
 
 def learn(docs: DataFrame, labels: DataFrame, use, exceptions: tuple[str, ...] = EXCEPTIONS) -> Model:
@@ -158,39 +164,59 @@ def learn(docs: DataFrame, labels: DataFrame, use, exceptions: tuple[str, ...] =
 
     def reduce(batches):
         for batch in slices(batches):
-            y, n, bag, same, more = batch.column("y").to_pylist(), [], [], [], []
+            n, bag, same = [], [], []
             for text in batch.column("text").to_pylist():
                 ws = tokens(fold(text or ""))
                 n.append(len(ws))
                 counts = Counter(ws)
-                bag.append(" ".join(f"{w}:{c}" for w, c in counts.items()))
+                bag.append(" ".join(counts))
                 raw = [w.encode("utf-8", "replace") for w in counts]
                 same.append("-".join(str(min((zlib.crc32(w, k) for w in raw), default=0)) for k in (1, 2, 3)))
-            yield pa.RecordBatch.from_arrays([pa.array(y, pa.int32()), pa.array(n, pa.int64()), pa.array(bag), pa.array(same)], names=["y", "n", "bag", "same"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), pa.array(n, pa.int64()), pa.array(bag), pa.array(same)], names=["doc_id", "y", "n", "bag", "same"])
 
-    rows, seen = [], set()
-    for r in training(docs, labels, "toxic", use).mapInArrow(reduce, "y int, n long, bag string, same string").toLocalIterator():
+    sample = stage(training(docs.withColumn("doc_id", F.col("doc_id").cast("long")), labels, "toxic", use), "toxic-sample")
+    rows = []
+    seen = set()
+    for r in sample.mapInArrow(reduce, "doc_id long, y int, n long, bag string, same string").orderBy("doc_id").toLocalIterator():
         if (r.y, r.same) not in seen:  # copies count once
             seen.add((r.y, r.same))
-            rows.append((r.y, r.n, {sys.intern(w): int(c) for w, c in (x.rsplit(":", 1) for x in r.bag.split())}))
-    toxic = [(n, bag) for y, n, bag in rows if y]
-    clean = [(n, bag) for y, n, bag in rows if not y]
+            rows.append((r.doc_id, r.y, r.n, {sys.intern(w) for w in r.bag.split()}))
+    toxic, clean = ([bag for _, y, _, bag in rows if y == k] for k in (1, 0))
     if len(toxic) < 5 or len(clean) < 5:
+        drop_stage(sample)
         return Model(exceptions=exceptions)
-    weights = choose([bag for _, bag in toxic], [bag for _, bag in clean])
+    weights = choose(toxic, clean)
     known = {w.rstrip("$") for w in weights}
-    words_held = {w for _, bag in clean for w in bag}
+    words_held = {w for bag in clean for w in bag}
     model = Model(weights | {f"{w}$": SEED_WEIGHT for w in SEED if w not in words_held and not any(w.startswith(k) for k in known)}, exceptions)
-    model.coefficients = calibrate(model, toxic, clean)
+    once = {d for d, *_ in rows}
+    scored = [(r.y, r.n, r.toxic_weight) for r in weighed(sample, model).select("doc_id", "y", "n", "toxic_weight").collect() if r.doc_id in once]
+    drop_stage(sample)
+    model.coefficients = calibrate(scored)
     return model
 
 
-def features(bag: dict[str, int]) -> set[str]:
+def weighed(docs: DataFrame, model: Model) -> DataFrame:
+    """``docs`` without text, with n (words) and toxic_weight (the summed weight of the entries found)."""
+    names = [x for x in docs.columns if x != "text"]
+
+    def run(batches):
+        automaton = model.automaton()
+        for batch in slices(batches):
+            found = [tokens(fold(text or "")) for text in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(x) for x in names), pa.array(map(len, found), pa.int64()), pa.array([hits(automaton, ws) for ws in found], pa.float64())], names=[*names, "n", "toxic_weight"]
+            )
+
+    return docs.mapInArrow(run, schema_of(docs, "n long, toxic_weight double", "text"))
+
+
+def features(bag: set[str]) -> set[str]:
     """Stems of 3 to 8 letters, and whole words (marked by $)."""
     return {sys.intern(w[:k]) for w in bag for k in range(3, min(len(w), 8) + 1)} | {f"{w}$" for w in bag if len(w) > 2}
 
 
-def choose(toxic: list[dict[str, int]], clean: list[dict[str, int]], most: int = 200) -> dict[str, float]:
+def choose(toxic: list[set[str]], clean: list[set[str]], most: int = ENTRIES) -> dict[str, float]:
     """Entries and weights, each the best explanation of toxic rows that are not explained yet."""
     t, c = len(toxic), len(clean)
     # With few rows, chance alone puts many words into two or three of them and into no clean one.
@@ -225,16 +251,11 @@ def choose(toxic: list[dict[str, int]], clean: list[dict[str, int]], most: int =
     return weights
 
 
-def calibrate(model: Model, toxic: list, clean: list, rounds: int = 60) -> tuple[float, float, float]:
-    """Coefficients of a ridge-penalised logistic regression, both classes weighted alike, kept non-negative."""
-    x, y, s = [], [], []
-    automaton = model.automaton()
-    for label, rows in ((1, toxic), (0, clean)):
-        for n, bag in rows:
-            w = sum(hits(automaton, [k]) * c for k, c in bag.items())
-            x.append((1.0, math.log1p(w), math.log1p(100 * w / max(n, 1))))
-            y.append(label)
-            s.append(1 / len(rows))
+def calibrate(rows: list[tuple[int, int, float]], rounds: int = 60) -> tuple[float, float, float]:
+    """Coefficients of a ridge-penalised logistic regression on (label, words, weight), both classes weighted alike, kept non-negative."""
+    n_of = Counter(y for y, *_ in rows)
+    x = [(1.0, math.log1p(w), math.log1p(100 * w / max(n, 1))) for _, n, w in rows]
+    y, s = [y for y, *_ in rows], [1 / n_of[y] for y, *_ in rows]
     x, y, s = np.array(x), np.array(y, float), np.array(s) * len(y) / 2
     start = b = np.array(Model().coefficients)
     penalty = np.diag([0.01, 1.0, 1.0]) * len(y) * 0.002
@@ -253,6 +274,7 @@ def calibrate(model: Model, toxic: list, clean: list, rounds: int = 60) -> tuple
 def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with score (0 to 1) and toxic_weight (the summed weight of the entries found)."""
     ship(docs.sparkSession)
+    docs = without(docs, "score", "toxic_weight")
     names = docs.columns
 
     def run(batches):
@@ -265,13 +287,12 @@ def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
                 scores.append(model.score(weights[-1], len(ws)))
             yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in names), pa.array(scores), pa.array(weights, pa.float64())], names=[*names, "score", "toxic_weight"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(run, f"{fields}, score double, toxic_weight double")
+    return docs.mapInArrow(run, schema_of(docs, "score double, toxic_weight double"))
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
     model = learn(docs, labels, lambda c: crc_mod(3)(c) != 1)
     return score_toxicity(docs, model).select(
-        "doc_id", (crc_mod(3)(F.col("doc_id")) == 1).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
+        "doc_id", F.coalesce(crc_mod(3)(F.col("doc_id")) == 1, F.lit(False)).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
     )
