@@ -12,15 +12,18 @@ Rules after decoding: block elements separate blocks (a line break is white spac
 are decoded, white space inside a block becomes one space, empty blocks go, blocks are joined by a blank line.
 
 Edge cases: null and empty pages give an empty text; text outside any element is judged with the root;
-nesting deeper than ``MAX_DEPTH`` is parsed as siblings; repeated pages are each extracted; extra columns pass through.
+elements nested deeper than ``MAX_DEPTH`` are children of the one at that depth, with all their text; repeated pages are each
+extracted; other columns pass through, but for text and n_chars, which the results replace.
 """
 
 from __future__ import annotations
 
+import heapq
 import html
 import math
 import random
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,6 +33,7 @@ from pyspark.sql import functions as F
 
 from .common import schema_of, ship, slices, table, without
 
+#: Open elements that a stack holds; deeper ones are parsed flat.
 MAX_DEPTH = 200
 TREES, DEPTH, RATE, BINS = 40, 4, 0.3, 32
 TRAINING_PAGES, SEED = 500, 7
@@ -76,6 +80,9 @@ def parse(page: str) -> Node:
     root = Node("#root", "", None)
     stack, at, n = [root], 0, len(page)
     low = None
+    # Open elements beyond MAX_DEPTH, whose end tags close nothing else, and how many there are of each tag.
+    deep: list[str] = []
+    n_deep: Counter = Counter()
     while at < n:
         m = TOKEN.search(page, at)
         if m is None:
@@ -89,6 +96,12 @@ def parse(page: str) -> Node:
             continue
         tag = tag.lower()
         if closing:
+            if n_deep[tag]:
+                last = ""
+                while last != tag:
+                    last = deep.pop()
+                    n_deep[last] -= 1
+                continue
             if tag == "p" and not any(x.tag == "p" for x in stack):
                 continue
             for k in range(len(stack) - 1, 0, -1):
@@ -136,6 +149,9 @@ def parse(page: str) -> Node:
         if not attributes.endswith("/") or tag not in ("svg", "path", "g", "use"):
             if len(stack) < MAX_DEPTH:
                 stack.append(node)
+            else:
+                deep.append(tag)
+                n_deep[tag] += 1
     return root
 
 
@@ -166,6 +182,12 @@ def features(order: list[Node]) -> np.ndarray:
     total = max(order[0].length, 1)
     n = len(order)
     position = 0
+    #: Of each element's children: how many, how many of each tag, the two largest lengths.
+    around: dict[int, tuple[int, Counter, int, int]] = {}
+    for x in order:
+        kids = [c for c in x.children if isinstance(c, Node) and c.tag not in UNSEEN]
+        if kids:
+            around[x.index] = (len(kids), Counter(c.tag for c in kids), *(heapq.nlargest(2, (c.length for c in kids)) + [0])[:2])
     for i, x in enumerate(order):
         p = x.parent
         row = [0.0] * FEATURES
@@ -190,12 +212,12 @@ def features(order: list[Node]) -> np.ndarray:
         row[36] = x.length / total
         row[37] = i / n
         row[38] = position / total
-        siblings = [c for c in p.children if isinstance(c, Node) and c.tag not in UNSEEN] if p is not None and len(p.children) < 400 else [x]
-        row[39] = math.log1p(len(siblings))
+        n_siblings, tags, longest, next_longest = around[p.index] if p is not None else (1, {x.tag: 1}, x.length, 0)
+        row[39] = math.log1p(n_siblings)
         row[40] = x.length / max(1, p.length if p is not None else x.length)
-        row[41] = sum(c.tag == x.tag for c in siblings) / max(1, len(siblings))
+        row[41] = tags[x.tag] / n_siblings
         row[42] = math.log1p(x.blocks)
-        row[43] = math.log1p(max((c.length for c in siblings if c is not x), default=0))
+        row[43] = math.log1p(next_longest if x.length == longest else longest)
         row[44] = (p.linked / max(p.length, 1)) if p is not None else 0
         position += sum(len(c) for c in x.children if isinstance(c, str) and not c.isspace())
     return np.array(out, np.float32)
