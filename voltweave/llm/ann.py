@@ -39,8 +39,8 @@ SAMPLE, BRANCH, LEAF = 40_000, 8, 256
 LEAF_ROWS, LEAF_SAMPLE, TREE_BYTES = 4096, 4096, 128 << 20
 #: Calibration uses at most so many queries, half of them to test the visits; visits are the fewest that reach this recall.
 PROBES, RECALL = 400, 0.93
-#: Vectors that are compared at a time, and the most on a page.
-BLOCK_ROWS, PAGE_ROWS = 4096, 8192
+#: Vectors that are compared at a time; pages have a 32nd of the vectors, but no fewer and no more than this.
+BLOCK_ROWS, LEAST_PAGE, MOST_PAGE = 4096, 1024, 65536
 #: Queries that a task walks, about.
 WALK_ROWS = 256
 
@@ -267,8 +267,9 @@ def calibrate(tree: Tree, index: DataFrame, q_key: np.ndarray, q_vec: np.ndarray
     return visits
 
 
-def pages(sizes: np.ndarray, rows: int = PAGE_ROWS) -> tuple[np.ndarray, np.ndarray]:
+def pages(sizes: np.ndarray, rows: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """First page and number of pages of each leaf: small leaves next to each other share a page, large ones have several."""
+    rows = rows or min(MOST_PAGE, max(LEAST_PAGE, int(sizes.sum()) // 32))
     first, blocks = np.zeros(len(sizes), np.int64), np.ones(len(sizes), np.int64)
     page = room = 0
     for leaf, n in enumerate(sizes.tolist()):
@@ -351,7 +352,7 @@ def search(vectors: DataFrame, is_query, k: int = K, sample: int = SAMPLE, probe
 
 def _search(
     rows: DataFrame, width: int, is_query, k: int, sample: int, probes: int, recall: float, leaf: int = LEAF, leaf_rows: int = LEAF_ROWS,
-    leaf_sample: int = LEAF_SAMPLE, tree_bytes: int = TREE_BYTES, page_rows: int = PAGE_ROWS,
+    leaf_sample: int = LEAF_SAMPLE, tree_bytes: int = TREE_BYTES, page_rows: int | None = None,
 ) -> DataFrame | None:
     """:func:`search` among vectors of one length; None without queries."""
     spark = rows.sparkSession
