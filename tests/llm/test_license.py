@@ -94,6 +94,84 @@ License, v. 2.0. If a copy of the MPL was not distributed with this
 file, You can obtain one at https://mozilla.org/MPL/2.0/."""
 
 
+GPL2 = GPL.replace("software: you", "software; you").replace("Foundation, either version 3", "Foundation; either version 2")
+LGPL = """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.
+
+This library is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU
+Lesser General Public License for more details."""
+LGPL3 = GPL.replace("GNU General Public License as", "GNU Lesser General Public License as")
+AGPL = GPL.replace("GNU General Public License as", "GNU Affero General Public License as")
+BSD2 = BSD[: BSD.index("3. Neither")]
+EPL1 = """All rights reserved. This program and the accompanying materials
+are made available under the terms of the Eclipse Public License v1.0
+which accompanies this distribution, and is available at
+http://www.eclipse.org/legal/epl-v10.html
+"""
+EPL2 = """This program and the accompanying materials are made available under the
+terms of the Eclipse Public License 2.0 which is available at
+https://www.eclipse.org/legal/epl-2.0/
+
+SPDX-License-Identifier: EPL-2.0"""
+BOOST = """         Copyright A. Author 2004 - 2006.
+Distributed under the Boost Software License, Version 1.0.
+   (See accompanying file LICENSE_1_0.txt or copy at
+         https://www.boost.org/LICENSE_1_0.txt)"""
+ZLIB = """This software is provided 'as-is', without any express or implied
+warranty.  In no event will the authors be held liable for any damages
+arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it
+freely, subject to the following restrictions:"""
+CC0 = """To the extent possible under law, the author(s) have dedicated all copyright
+and related and neighboring rights to this software to the public domain
+worldwide. This software is distributed without any warranty."""
+#: Published texts beside the operator's own table, and the licences they state.
+PUBLISHED = {
+    "MIT": MIT, "Apache-2.0": APACHE, "GPL-3.0": GPL, "BSD-3-Clause": BSD, "ISC": ISC, "MPL-2.0": MPL, "GPL-2.0": GPL2, "LGPL-2.1": LGPL, "LGPL-3.0": LGPL3,
+    "AGPL-3.0": AGPL, "BSD-2-Clause": BSD2, "EPL-2.0": EPL2, "BSL-1.0": BOOST, "Zlib": ZLIB, "CC0-1.0": CC0,
+}
+
+
+def forms():
+    """Each published text as it is, on one line, with line feeds of another kind, and as a comment of several languages."""
+    comment = lambda mark, t: "\n".join(f"{mark} {line}" for line in t.splitlines())
+    for name, t in PUBLISHED.items():
+        paragraphs = "\n".join(" ".join(p.split()) for p in t.split("\n\n"))
+        for form in (t, paragraphs, t.replace("\n", "\r\n"), "/*\n" + comment(" *", t) + "\n */\nint main;", *(comment(m, t) for m in ("#", "//", "--", ";;", "REM", "dnl", "%"))):
+            yield name, form
+
+
+def test_published_texts_in_every_form(spark, make_docs):
+    cases = list(forms())
+    got = scan(spark, make_docs, [t for _, t in cases])
+    assert [(n, g[2]) for (n, _), g in zip(cases, got, strict=True)] == [(n, [n]) for n, _ in cases]
+    assert scan(spark, make_docs, [EPL1])[0][2] == ["EPL-1.0", "Proprietary"]  # it reserves all rights, too
+
+
+def test_sql_finds_the_same_in_wrapped_texts(spark, make_docs, tmp_path):
+    import duckdb
+
+    texts = [t for _, t in forms()] + [EPL1, None, "", "not\nreleased under the\nMIT license", "x" * 50_000 + "\nMIT license", "MIT license. MIT\nLicense;\n\nMIT", "\u212aIT the mit license"]
+    make_docs(texts).write.parquet(str(tmp_path / "documents.parquet"))
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    names = ["doc_id", "n_sentences", "sentence_ids", "rules", "licenses"]
+    got = sorted(tuple(r) for r in L.op8_license_scan(spark, str(tmp_path)).select(names).collect())
+    assert got == sorted(c.execute(f"SELECT {', '.join(names)} FROM ({L.ORACLE})").fetchall())
+
+
+def test_clashing_columns(spark, make_docs):
+    docs = make_docs(["the MIT license"]).selectExpr("*", "1 AS rules", "2 AS Licenses", "3 AS sentence_ids", "4 AS `a.b`")
+    r = L.scan(docs).first()
+    assert r.rules == ["mit-notice"] and r.licenses == ["MIT"] and r.sentence_ids == ["mit-note"] and r["a.b"] == 4
+
+
 def test_published_texts_as_wrapped(spark, make_docs):
     comment = lambda mark, t: "\n".join(f"{mark} {line}" for line in t.splitlines())
     texts = [MIT, APACHE, GPL, BSD, ISC, MPL]
