@@ -134,3 +134,71 @@ def test_pairs_within_a_family_of_unlike_texts(spark, make_docs, monkeypatch, bl
     got = classes(df)
     assert len(together) > 500 * len(like) and len(like) >= 48
     assert [got[i][0] for i in range(len(texts))] == want
+
+
+def whole_classes(texts, weights):
+    """Classes by the similarity of all pairs of texts."""
+    doc, s, count, _ = M.vectors([t.encode() for t in texts])
+    weight = count * M.idf(weights, s).astype(float)
+    v = [dict(zip(s[doc == i].tolist(), weight[doc == i].tolist())) for i in range(len(texts))]
+    total = [sum(x.values()) for x in v]
+    want, links = list(range(len(texts))), []
+    for i in range(len(texts)):
+        for j in range(i):
+            if not v[i] or not v[j] or min(total[i], total[j]) < 0.8 * max(total[i], total[j]):
+                continue
+            low = sum(min(x, v[j][k]) for k, x in v[i].items() if k in v[j])
+            if low / (total[i] + total[j] - low) >= M.SIMILARITY:
+                links.append((i, j))
+                a, b = want[i], want[j]
+                want = [min(a, b) if c in (a, b) else c for c in want]
+    return want, links
+
+
+def test_a_table_against_all_pairs(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id")
+    rows = df.collect()
+    texts = [r.text or "" for r in rows]
+    want, links = whole_classes(texts, M.weights_of(*M.sketch(df)))
+    got = {r.doc_id: r.class_id for r in M.op1_minhash_dedup(spark, "/root/testdata/sf0.001").collect()}
+    assert len(links) > 10 and [got[r.doc_id] for r in rows] == [rows[c].doc_id for c in want]
+
+
+@pytest.mark.parametrize("edits", [1, 2])
+def test_pairs_beside_many_texts_of_their_template(spark, make_docs, edits):
+    """400 texts of one template with smaller ids, none like another, lead all buckets; copies of 60 others are joined to them."""
+    rng = random.Random(12)
+    template = text(rng, 200).split()
+
+    def of_template():
+        w = list(template)
+        at = rng.randrange(0, 175)
+        w[at : at + 13] = text(rng, 13).split()
+        return w
+
+    texts = [" ".join(of_template()) for _ in range(400)]
+    pairs = []
+    for i in range(60):
+        one = of_template()
+        two = list(one)
+        for e in range(edits):
+            two[(17 + 40 * e + i) % 195] = f"edit{i}x{e}"
+        pairs.append((len(texts), len(texts) + 1))
+        texts += [" ".join(one), " ".join(two)]
+    df = make_docs(texts)
+    want, links = whole_classes(texts, M.weights_of(*M.sketch(df)))
+    assert {(b, a) for a, b in pairs} <= set(links) and len(set(want)) > 380
+    got = classes(df)
+    assert [got[i][0] for i in range(len(texts))] == want
+
+
+def test_rows_that_repeat_a_doc_id_have_one_text(spark, make_docs):
+    rng = random.Random(3)
+    a, b, c = (text(rng, 100) for _ in range(3))
+    docs = make_docs([a, b, a, b, c, c], [5, 5, 7, 8, 9, 9]).selectExpr("*", "1 AS class_id", "2 AS id", "3 AS seq", "4 AS `x.y`")
+    got = {tuple(sorted(classes(docs).items())) for _ in range(2)}
+    docs = docs.repartition(3).sortWithinPartitions("text")
+    got.add(tuple(sorted(classes(docs).items())))
+    assert len(got) == 1
+    got = dict(got.pop())
+    assert got[9] == (9, 1) and {got[7][0], got[8][0]} in ({5, 8}, {5, 7}) and got[5] == (5, 2)

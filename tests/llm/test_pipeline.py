@@ -1,13 +1,25 @@
-"""The corpus pipeline on planted documents and on a given table."""
+"""The corpus pipeline: each stage against a brute-force version of its rule, planted documents, and a given table."""
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as P
+from tests.llm.test_classifiers import naive
+from tests.llm.test_lines_and_contamination import LOWER, WORD, contamination, kept_lines
+from tests.llm.test_minhash import whole_classes
+from tests.llm.test_tokens import check_pack
+from voltweave.llm import common, minhash, toxicity
+
 SF = "/root/testdata/sf0.001"
 
 
+@pytest.fixture(scope="module")
+def table(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
 def test_stages_keep_clean_documents_and_catch_planted_ones(spark, make_docs):
     rng = random.Random(9)
     text = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 7))) for _ in range(n))
@@ -29,9 +41,79 @@ def test_stages_keep_clean_documents_and_catch_planted_ones(spark, make_docs):
     assert four.columns == columns and {r.doc_id for r in four.collect()} == set(got) - {27, 28, 29}
 
 
-def test_run_on_a_table(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
+def test_toxicity_stage_against_a_naive_matcher(spark, table):
+    model = toxicity.learn(table.select("doc_id", "text"), spark.read.parquet(f"{SF}/labels.parquet"), lambda c: toxicity.crc_mod(3)(c) != 1)
+    want = set()
+    for r in table.collect():
+        words = toxicity.tokens(toxicity.fold(r.text or ""))
+        if model.score(naive(model, words), len(words)) < toxicity.THRESHOLD:
+            want.add(r.doc_id)
+    assert {r.doc_id for r in P.drop_toxic(spark, table, SF).collect()} == want and 0 < len(want) < table.count()
+
+
+def test_line_stage_against_brute_force(spark, table):
+    want = {d: t for d, _, _, t in kept_lines([(r.doc_id, r.text) for r in table.collect()])}
+    got = P.drop_repeated_lines(spark, table, SF).collect()
+    assert {r.doc_id: r.text or "" for r in got} == want and all(r.n_chars == len(r.text or "") for r in got)
+
+
+def test_near_stage_against_all_pairs(spark, table):
+    rows = sorted(table.collect(), key=lambda r: r.doc_id)
+    want, _ = whole_classes([r.text or "" for r in rows], minhash.weights_of(*minhash.sketch(table)))
+    kept = {rows[i].doc_id for i, c in enumerate(want) if c == i}
+    assert {r.doc_id for r in P.drop_near_duplicates(spark, table, SF).collect()} == kept and len(kept) < len(rows)
+
+
+def test_contamination_stage_against_brute_force(spark, table):
+    rows = table.collect()
+    marks = contamination([(r.doc_id, r.text) for r in rows], [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()])
+    got = {r.doc_id: r for r in P.drop_contaminated(spark, table, SF).collect()}
+    assert set(got) == {d for d, m in marks.items() if not m[-1]} and len(got) < len(rows)
+    for r in rows:
+        if r.doc_id in got:
+            assert len(WORD.findall((got[r.doc_id].text or "").translate(LOWER))) == marks[r.doc_id][0] - marks[r.doc_id][1]
+
+
+def test_packing_stage_against_the_library(spark, table):
+    check_pack(P.pack(spark, table, SF).collect(), {r.doc_id: r.text for r in table.collect()})
+
+
+CLASHES = ("score", "toxic_weight", "n_lines", "n_dropped", "n_words", "n_hit", "n_items", "items", "contaminated", "clean_text", "class_id", "seq", "id", "key", "h", "Text2", "sequence_id", "a.b", "__null")
+
+
+def test_columns_of_any_name_pass_through_with_their_values(spark, make_docs):
+    docs = make_docs(["a b c d e f " * 9, "a b c d e f " * 9, "other words stand here now", None, ""])
+    docs = docs.select("*", *(F.concat(F.lit(x), F.col("doc_id").cast("string")).alias(x) for x in CLASHES))
+    for name, function in P.STAGES[:-1]:
+        out = function(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        rows = out.collect()
+        assert len(rows) == (4 if name == "near_dedup" else 5)
+        assert all(r[x] == f"{x}{r.doc_id}" for r in rows for x in CLASHES), name
+    assert {r.doc_id for r in P.pack(spark, docs, SF).collect()} == set(range(5))
+
+
+def test_near_stage_with_repeated_rows_and_without_ids(spark, make_docs):
+    rng = random.Random(4)
+    text = lambda: " ".join("".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(40))
+    a, b, c, d = text(), text(), text(), text()
+    docs = make_docs([a, a, a, b, b, c, c, d, d, None, None, ""], [1, 1, 2, 5, 5, 7, None, None, None, None, 9, 9])
+    for part in (docs, docs.repartition(3)):
+        got = sorted((r.doc_id if r.doc_id is not None else -1, r.text or "") for r in P.drop_near_duplicates(spark, part, SF).collect())
+        assert [x for x in got if x[0] in (1, 2, 5, 7)] == [(1, a), (5, b), (7, c)]
+        assert [x for x in got if x[0] == -1] == [(-1, ""), (-1, d)] and len([x for x in got if x[0] == 9]) == 1
+
+
+def test_empty_tables(spark, make_docs):
+    for name, function in P.STAGES:
+        out = function(spark, make_docs([]), SF)
+        assert out.collect() == [], name
+
+
+def test_run_on_a_table(spark, table):
+    before = set(common._LEFT)
     out = P.run(spark, SF)
     assert out.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-    assert 0 < out.select("doc_id").distinct().count() <= docs.count()
+    assert 0 < out.select("doc_id").distinct().count() <= table.count()
     assert len(P.STAGES) == 5 and out.groupBy("sequence_id").agg(F.sum("length").alias("n")).agg(F.max("n")).first()[0] <= 2048
+    assert sum("pipeline-" in x for x in set(common._LEFT) - before) == 1  # the last stage's table, which the result reads

@@ -48,6 +48,35 @@ def test_fast_encoder_equals_the_library_for_every_low_character():
         assert both.fast.encode_ordinary(text) == both.exact.encode(text, add_special_tokens=False).ids, repr(c)
 
 
+LONG = [" " * 2_000_000, "\n" * 2_000_000, "a" * 2_000_000, " \n" * 600_000 + "end", ("word " * 9 + "\n") * 20_000, "\u00a0" * 400_000, (" " * 4000 + "x") * 50]
+
+
+def test_very_long_texts_are_packed(spark, make_docs):
+    rows = packing.pack(make_docs(LONG), public_tokenizers.path(packing.TOKENIZER), public_tokenizers.path(packing.RANKS)).collect()
+    check_pack(rows, dict(enumerate(LONG)))
+
+
+def test_very_long_texts_are_counted_by_the_default_path(spark, make_docs, encoder):
+    texts = [*LONG[:2], "a" * 300_000, *LONG[3:], "日本語のテキスト。" * 20_000, " ".join(f"w{i} é," for i in range(40_000))]
+    rows = sorted(token_counts.count_tokens(make_docs(texts), public_tokenizers.path(token_counts.MODEL)).collect(), key=lambda r: r.doc_id)
+    for r, t in zip(rows, texts, strict=True):
+        assert (r.n_bytes, r.n_tokens) == (len(t.encode()), len(encoder.processor.encode(t, num_threads=1)))
+
+
+def test_repeated_rows_empty_tables_and_clashing_columns(spark, make_docs):
+    docs = make_docs(["one two", "one two", None, "x " * 3000, "x " * 3000], [1, 1, None, 2, 2]).selectExpr("*", "7 AS n_tokens", "8 AS N_bytes", "9 AS sequence_id", "'p' AS `a.b`")
+    model = public_tokenizers.path(token_counts.MODEL)
+    rows = token_counts.count_tokens(docs, model).collect()
+    assert len(rows) == 5 and len({(r.doc_id, r.n_tokens) for r in rows}) == 3 and rows[0]["a.b"] == "p" and rows[0].sequence_id == 9
+    assert token_counts.count_tokens(docs.limit(0), model).collect() == []
+    out = packing.pack(docs, public_tokenizers.path(packing.TOKENIZER), public_tokenizers.path(packing.RANKS))
+    assert out.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    got = out.collect()
+    assert sorted((r.doc_id or 0, r.start) for r in got) == sorted([(0, 0), (1, 0), (1, 0)] + [(2, s) for r in range(2) for s in range(0, next(r.doc_tokens for r in got if r.doc_id == 2), 2048)])
+    spans = sorted((r.sequence_id, r.offset, r.offset + r.length) for r in got)
+    assert all(a[0] != b[0] or a[2] == b[1] for a, b in zip(spans, spans[1:]))
+
+
 def ids_of(tokenizer, text):
     return [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
 

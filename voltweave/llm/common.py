@@ -14,7 +14,8 @@ import re
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import wraps
 from pathlib import Path
 
 import numpy as np
@@ -117,6 +118,21 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*(quoted(x) for x in df.columns if x.lower() not in gone))
 
 
+def with_plain_names(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Gives columns whose names hold dots or backticks, which Arrow functions can't take, other names while the operator works."""
+
+    @wraps(operator)
+    def work(df: DataFrame, *args, **kw) -> DataFrame:
+        odd = {x: f"__plain_{i}" for i, x in enumerate(df.columns) if "." in x or "`" in x}
+        if not odd:
+            return operator(df, *args, **kw)
+        out = operator(df.select(*(quoted(x).alias(odd.get(x, x)) for x in df.columns)), *args, **kw)
+        back = {b: a for a, b in odd.items()}
+        return out.select(*(quoted(x).alias(back.get(x, x)) for x in out.columns))
+
+    return work
+
+
 def schema_of(df: DataFrame, more: str, less: str = "") -> StructType:
     """The schema of ``df`` without column ``less``, followed by the columns that the DDL text ``more`` names."""
     return StructType([f for f in df.schema.fields if f.name != less] + StructType.fromDDL(more).fields)

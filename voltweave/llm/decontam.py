@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD_TABLE, as_bytes, drop_stage, schema_of, ship, slices, stage, table, without, words
+from .common import WORD_TABLE, as_bytes, drop_stage, schema_of, ship, slices, stage, table, with_plain_names, without, words
 
 WINDOW, COVER = 13, 20
 BLOCK_WORDS, PASS_BLOCKS = 200_000, 16
@@ -236,6 +236,7 @@ def mark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_word
     return passed(out, waiting)
 
 
+@with_plain_names
 def decontaminate(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cover: int = COVER, block_words: int = BLOCK_WORDS, spans: bool = True, pass_blocks: int = PASS_BLOCKS
 ) -> DataFrame:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import schema_of, ship, slices, table, without
+from .common import schema_of, ship, slices, table, with_plain_names, without
 
 #: Open elements that a stack holds; deeper ones are parsed flat.
 MAX_DEPTH = 200
@@ -486,6 +486,7 @@ def extract_page(page: str, forest: Forest) -> str:
     return "\n\n".join(blocks(root, decode(order, forest.log_odds(features(order)))))
 
 
+@with_plain_names
 def extract(pages: DataFrame, forest: Forest | None = None) -> DataFrame:
     """``pages`` without html, with text and n_chars."""
     ship(pages.sparkSession)

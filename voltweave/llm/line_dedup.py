@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import as_bytes, code_points, drop_stage, mix64, schema_of, ship, slices, stage, table, without
+from .common import as_bytes, code_points, drop_stage, mix64, schema_of, ship, slices, stage, table, with_plain_names, without
 
 MIN_CHARS, MIN_DOCS = 40, 5
 SHARD_KEYS = 200_000
@@ -260,6 +260,7 @@ def _probe_routed(docs: DataFrame, shards: DataFrame, n_shards: int, n_salts: in
     return joined.mapInArrow(rewrite, schema_of(joined.drop("__drop"), RESULTS, "text"))
 
 
+@with_plain_names
 def dedup_lines(
     docs: DataFrame,
     min_chars: int = MIN_CHARS,

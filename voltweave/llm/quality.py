@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD_TABLE, as_bytes, quoted, schema_of, ship, slices, stage, table, without
+from .common import WORD_TABLE, as_bytes, quoted, schema_of, ship, slices, stage, table, with_plain_names, without
 
 THRESHOLD = 0.7
 NAMES = (
@@ -96,6 +96,7 @@ def statistics(text: bytes) -> list[float]:
     ]
 
 
+@with_plain_names
 def measure(docs: DataFrame) -> DataFrame:
     """``docs`` without text, with the vector of statistics."""
     ship(docs.sparkSession)
@@ -223,6 +224,7 @@ def scale(d: np.ndarray, y: np.ndarray, ridge: float = 0.01) -> tuple[float, flo
     return float(b[1]), float(b[0]), float(-(w * (y * np.log(p) + (1 - y) * np.log(1 - p))).sum())
 
 
+@with_plain_names
 def score_quality(measured: DataFrame, model: Discriminant | None) -> DataFrame:
     """``measured`` without its statistics, with score."""
     measured = without(measured, "score")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import as_bytes, schema_of, ship, slices, table, without
+from .common import as_bytes, schema_of, ship, slices, table, with_plain_names, without
 
 LIMIT = 4096
 HUGE_BYTES, CHUNK_BYTES, OVERLAP_BYTES = 1 << 16, 1 << 15, 1 << 9
@@ -97,6 +97,7 @@ def _encoder(path: str, cache: dict = {}) -> PieceEncoder:  # noqa: B006  one fo
     return cache[path]
 
 
+@with_plain_names
 def count_tokens(
     docs: DataFrame, model: str, limit: int = LIMIT, huge_bytes: int = HUGE_BYTES, chunk: int = CHUNK_BYTES, overlap: int = OVERLAP_BYTES
 ) -> DataFrame:

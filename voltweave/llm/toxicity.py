@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import drop_stage, schema_of, ship, slices, stage, table, without
+from .common import drop_stage, schema_of, ship, slices, stage, table, with_plain_names, without
 
 THRESHOLD = 0.7
 #: At most so many labelled rows of each class are learned from.
@@ -271,6 +271,7 @@ def calibrate(rows: list[tuple[int, int, float]], rounds: int = 60) -> tuple[flo
     return tuple(float(v) for v in b)
 
 
+@with_plain_names
 def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with score (0 to 1) and toxic_weight (the summed weight of the entries found)."""
     ship(docs.sparkSession)
