@@ -89,8 +89,11 @@ def test_join_equals_brute_force(spark):
             for b, lb, gb in rows:
                 if a != b and lb in config.mutual(la) and (d := dist(p, gb)) <= config.LAYERS[la].radius:
                     want[a, end, b] = d
-    got = {(r.src_id, r.end, r.dst_id): r.distance for r in C.distance_join(frame(spark, rows)).collect()}
-    assert got.keys() == want.keys() and got == pytest.approx(want)
+    for hot in (C.HOT_PROBES, 3):  # with 3, cells are split into parts
+        found = C.distance_join(frame(spark, rows), hot_probes=hot)
+        got = [((r.src_id, r.end, r.dst_id), r.distance) for r in found.collect()]
+        assert len(got) == len(want) and dict(got) == pytest.approx(want)  # a pair meets once
+        assert sorted(map(tuple, C.edges(C.top_connections(found)).collect())) == sorted(map(tuple, C.edges(C.top_connections(C.distance_join(frame(spark, rows)))).collect()))
 
 
 def test_ordinals_across_buckets(spark):
@@ -185,6 +188,24 @@ def test_regression_anchors(spark):
     assert queries.one_way_edges(spark, sf).count() == 33
 
 
+def test_pairs_are_not_shuffled_after_the_join(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        points = spark.createDataFrame([(i, f"a{i}", "reseau_bt", float(i)) for i in range(9)], "ordinal long, id string, layer string, x double")
+        v = F.struct(F.col("x"), F.lit(0.0).alias("y"))
+        f = points.select("ordinal", "id", "layer", F.struct(F.lit("Point").alias("type"), F.array(F.array(F.array(v))).alias("parts")).alias("geom"))
+        plan = C.top_connections(C.distance_join(f))._jdf.queryExecution().executedPlan().toString()
+        # Probes once for each of the two joins (the second a reuse), candidates of either kind once: none for pairs or ranks.
+        exchanges = [x for x in plan.splitlines() if "Exchange" in x]
+        assert all("cell" in x or "Reused" in x for x in exchanges), exchanges
+        assert sum("src_id" in x for x in exchanges) == 0 and len(exchanges) <= 5, exchanges
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_top_k_is_cut_before_the_shuffle_and_the_join_is_on_cells(spark):
     plan = queries.topk_connections(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "NestedLoop" not in plan and "Cartesian" not in plan

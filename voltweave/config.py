@@ -99,6 +99,13 @@ def may_connect(src, dst):
     return out
 
 
+def positions_may_connect(src, dst):
+    """:func:`may_connect` by the layers' positions: one look-up in a constant table."""
+    n = len(LAYERS)
+    allowed = [b in mutual(a) for a in LAYERS for b in LAYERS]
+    return F.array(*map(F.lit, allowed))[src * n + dst]
+
+
 def connection_limit(layer, is_end):
     point = F.when(layer.startswith("postes"), LIMIT_STATION).when(layer.endswith("bt"), LIMIT_LOW).otherwise(LIMIT_OTHER)
     return F.when(is_end, LIMIT_END).otherwise(point)
