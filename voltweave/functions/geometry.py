@@ -195,8 +195,8 @@ def number_text(n: Column) -> Column:
 
 
 def wkt(text: Column) -> Column:
-    """Well-known text of a GeoJSON geometry, 2-D; null for other types, no coordinates, or text that is none."""
-    return let(F.from_json(text, "type string, coordinates string"), _wkt)
+    """Well-known text of a GeoJSON geometry, 2-D; null for other types, no coordinates, a null ordinate, or text that is none."""
+    return let(F.from_json(text, "type string, coordinates string"), lambda got: F.when(~got["coordinates"].contains("null"), _wkt(got)))
 
 
 def _wkt(got: Column) -> Column:

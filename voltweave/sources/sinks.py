@@ -109,7 +109,7 @@ def clean_checkpoints(spark: SparkSession, folder: str) -> int:
 
 
 def replace_table(df: DataFrame, name: str) -> None:
-    df.write.mode("overwrite").option("overwriteSchema", "true").saveAsTable(name)
+    df.write.mode("overwrite").saveAsTable(name)
 
 
 def log_error(spark: SparkSession, folder: str, message: str) -> None:
