@@ -391,25 +391,21 @@ def compare_in_full(members: DataFrame, texts: DataFrame, weights, similarity: f
 def components(links: DataFrame, most: int = 60) -> DataFrame:
     """(id, class): the smallest id of each node's component, by large-star and small-star steps.
 
-    Each round shortens the longest chain by half or so; ``most`` rounds are far more than any number of ids needs, and an error else.
+    An edge goes from its larger end u to its smaller end v. Each round shortens the longest chain by half or so; ``most`` rounds are
+    far more than any number of ids needs, and an error else.
     """
     edges = stage(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "links")
     for _ in range(most):
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        # Large star: neighbours larger than u are tied to the least of u's neighbourhood.
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        # Small star: u and its smaller neighbours are tied to the least of them.
+        # Large star: u is tied to the least neighbour of v, which is v itself where v has no smaller one.
+        low = edges.groupBy(F.col("u").alias("v")).agg(F.min("v").alias("m"))
+        large = edges.join(low, "v", "left").select("u", F.coalesce("m", "v").alias("v")).repartition("u").distinct()
+        # Small star: u and its neighbours, all smaller, are tied to the least of them.
         down = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(down, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(down.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+        small = large.join(down, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         new = stage(small, "links")
-        # Done when every node is tied to one smaller node, and that one to none.
-        tied = new.groupBy("u").agg(F.count("*").alias("n"))
-        many = tied.where("n > 1").limit(1).count()
-        deep = 0 if many else new.select(F.col("v").alias("u")).join(tied, "u", "left_semi").limit(1).count()
         drop_stage(edges)
         edges = new
-        if not many and not deep:
+        if settled(edges):
             break
     else:
         raise RuntimeError("components did not settle")
@@ -418,6 +414,12 @@ def components(links: DataFrame, most: int = 60) -> DataFrame:
     return out
 
 
+def settled(edges: DataFrame) -> bool:
+    """Whether every node is tied to one smaller node, and that one to none."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("u").alias("id"), F.lit(1).alias("up")), F.struct(F.col("v").alias("id"), F.lit(0).alias("up")))).alias("x")).select("x.*")
+    return ends.groupBy("id").agg(F.sum("up").alias("n"), F.min("up").alias("least")).where("n > 1 OR n = 1 AND least = 0").isEmpty()
+
+
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, class_id (the class's smallest doc_id) and n_class (its documents) of each document of ``docs``."""
     spark = docs.sparkSession
@@ -447,7 +449,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     used += [more, found]
     if not more.isEmpty():
         second = stage(verify(more, texts, weights, similarity).where("linked").select("a", "b"), "verified")
-        found = components(first.unionByName(second))
+        found = components(found.select(F.col("id").alias("a"), F.col("class").alias("b")).unionByName(second))
         members = stage(undecided(reps, found), "members")
         used += [second, members, found]
     if not members.isEmpty():
