@@ -168,7 +168,24 @@ def test_load_errors(spark, tmp_path):
         (tmp_path / f"reseau_souterrain_hta{i}.geojson").write_text(text)
     got = ingest.run(spark, places)
     assert len(got["failed_files"]) == 4 and got["summary"]["success_rate"] == "0/4"
-    assert spark.read.json(str(tmp_path / "error_log")).count() == 4
+    said = [r.message for r in spark.read.json(str(tmp_path / "error_log")).collect()]
+    assert len(said) == 5 and "0 files loaded, 4 not, 0 rows" in said  # one for each file, and the batch
+
+
+def test_dropped_features_and_tables_that_stay(spark, tmp_path):
+    places = config.Places(processed=str(tmp_path))
+    name = "reseau_souterrain_hta_drop"
+    (tmp_path / f"{name}.geojson").write_text('{"features":[{"properties":{"a":1}},"text",[1],{"properties":{"a":2}}]}')
+    got = ingest.run(spark, places)
+    assert got["summary"]["success_rate"] == "1/1" and got["summary"]["total_rows_processed"] == 2
+    said = sorted(r.message.split(": ", 1)[1] for r in spark.read.json(str(tmp_path / "error_log")).collect())
+    assert said == ["dropped, no object, position 1: text", "dropped, no object, position 2: [1]"]
+    with pytest.raises(Exception, match="no such row"):  # a write that fails leaves the table
+        sinks.replace_table(spark.range(1).select(F.raise_error(F.lit("no such row")).cast("long").alias("b")), f"default.{name}")
+    assert spark.table(f"default.{name}").count() == 2
+    sinks.replace_table(spark.range(3).toDF("other"), f"default.{name}")
+    assert spark.table(f"default.{name}").columns == ["other"] and not [t.name for t in spark.catalog.listTables("default") if t.name.startswith(f"{name}__")]
+    spark.sql(f"DROP TABLE default.{name}")
 
 
 def test_schema_inference(spark):

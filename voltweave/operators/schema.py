@@ -49,8 +49,13 @@ def infer_schema(features: DataFrame) -> list[tuple[str, str, str]]:
     return out
 
 
+def not_objects(features: DataFrame, feature: str = "feature") -> DataFrame:
+    """The features that :func:`flatten` drops."""
+    return features.where(~F.coalesce(F.schema_of_variant(F.try_parse_json(F.col(feature))).startswith("OBJECT"), F.lit(False)))
+
+
 def flatten(features: DataFrame, schema: list[tuple[str, str, str]], position: str = "position", feature: str = "feature") -> DataFrame:
-    """One row for each feature: fixed columns, and one for each property of ``schema``. What is no object is dropped."""
+    """One row for each feature: fixed columns, and one for each property of ``schema``. What is no object is dropped (see :func:`not_objects`)."""
     f, pos = F.col(feature), F.col(position)
     v = F.try_parse_json(f)
     geometry = V.geometry_json(f)

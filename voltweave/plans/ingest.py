@@ -36,6 +36,10 @@ def load_file(spark: SparkSession, path: str, places: config.Places) -> dict:
         name = f"{places.database}.{file_table(spark, path)}"
         sinks.replace_table(S.flatten(features, S.infer_schema(features)), name)
         out |= {"status": "success", "rows_processed": spark.table(name).count()}
+        said = F.concat(F.lit(f"{path}: dropped, no object, position "), F.col("position").cast("string"), F.lit(": "), F.substring("feature", 1, 200))
+        dropped = S.not_objects(features).select(said.alias("message"))
+        if not dropped.isEmpty():
+            sinks.log_rows(dropped, f"{places.processed}/error_log")
     except Exception as e:  # noqa: BLE001
         out["error"] = str(e)
         sinks.log_error(spark, f"{places.processed}/error_log", f"{path}: {e}\n{traceback.format_exc()}")
@@ -65,6 +69,9 @@ def run(spark: SparkSession, places: config.Places | None = None, contains: str
             out["processed_files" if result["status"] == "success" else "failed_files"].append(result)
         rows = [(r["file"], r["status"], r["rows_processed"], r["error"], r["processing_time"]) for r in out["processed_files"] + out["failed_files"]]
         total = summary(spark.createDataFrame(rows, "file string, status string, rows_processed bigint, error string, processing_time double")).first()
+        if out["failed_files"]:
+            counts = f"{len(out['processed_files'])} files loaded, {len(out['failed_files'])} not, {total.total_rows_processed} rows"
+            sinks.log_error(spark, f"{places.processed}/error_log", counts)
         return out | {"end_time": now(), "summary": total.asDict()}
     except Exception as e:  # noqa: BLE001
         sinks.log_error(spark, f"{places.processed}/error_log", f"{e}\n{traceback.format_exc()}")

@@ -93,8 +93,8 @@ def run(spark: SparkSession, source: str = "local", destination: str = "local",
         stats = step("save", save)
         final, whole = (int(open("/proc/self/statm").read().split()[1]) * os.sysconf("SC_PAGE_SIZE"), os.sysconf("SC_PHYS_PAGES") * os.sysconf("SC_PAGE_SIZE")) if os.path.exists("/proc/self/statm") else (0, 1)
         peak = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss * 1024
-        total, found = sum(x["feature_count"] for x in stats.values()), sum(x["total_connections"] for x in stats.values())
-        report |= {"end_time": datetime.now(timezone.utc).isoformat(), "total_duration": time.time() - start, "step_times": steps, "peak_memory": peak, "final_memory": final, "memory_percent": 100 * final / whole, "layers_count": len(stats), "total_features": total, "total_connections": found, "avg_connections_per_feature": found / total if total else 0}
+        report |= {"end_time": datetime.now(timezone.utc).isoformat(), "total_duration": time.time() - start, "step_times": steps, "peak_memory": peak, "final_memory": final, "memory_percent": 100 * final / whole}
+        report |= totals_of(stats)
         log(report_text(report))
         return True
     except Exception as e:  # noqa: BLE001
@@ -102,9 +102,16 @@ def run(spark: SparkSession, source: str = "local", destination: str = "local",
         return False
 
 
+def totals_of(stats: dict) -> dict:
+    """The report's counts, from the statistics of layers. Geometry collections keep their row and have no connections."""
+    total, found = sum(x["feature_count"] for x in stats.values()), sum(x["total_connections"] for x in stats.values())
+    collections = sum(x["geometry_types"].get("GeometryCollection", 0) for x in stats.values())
+    return {"layers_count": len(stats), "geometry_collections": collections, "total_features": total, "total_connections": found, "avg_connections_per_feature": found / total if total else 0}
+
+
 def report_text(r: dict) -> str:
     lines = [f"start {r['start_time']}", f"end {r['end_time']}", f"total {r['total_duration']:.2f} seconds", *(f"  {k}: {v:.2f}s" for k, v in r["step_times"].items())]
-    lines += [f"peak memory {byte_text(r['peak_memory'])}", f"final memory {byte_text(r['final_memory'])} ({r['memory_percent']:.1f}%)", f"layers {r['layers_count']}", f"features {r['total_features']:,}", f"connections {r['total_connections']:,}", f"connections for each feature {r['avg_connections_per_feature']:.2f}"]
+    lines += [f"peak memory {byte_text(r['peak_memory'])}", f"final memory {byte_text(r['final_memory'])} ({r['memory_percent']:.1f}%)", f"layers {r['layers_count']}", f"geometry collections, left unconnected {r['geometry_collections']:,}", f"features {r['total_features']:,}", f"connections {r['total_connections']:,}", f"connections for each feature {r['avg_connections_per_feature']:.2f}"]
     return "\n".join(lines)
 
 

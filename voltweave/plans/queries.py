@@ -369,3 +369,5 @@ def one_way_edges(spark, sf):
     e = C.edges(C.top_connections(C.distance_join(layer_features(spark, sf))))
     return e.join(e.select(F.col("dst_id").alias("src_id"), F.col("src_id").alias("dst_id")), ["src_id", "dst_id"], "left_anti")
 
+
+from . import file_queries  # noqa: E402, F401  adds the queries over files

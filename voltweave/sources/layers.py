@@ -25,12 +25,17 @@ def read_layer_csv(spark: SparkSession, path: str, layer: str) -> DataFrame:
     return raw.withColumn("layer", F.lit(layer)).withColumn("__order", F.monotonically_increasing_id())
 
 
+def parsed(raw: DataFrame) -> DataFrame:
+    """Rows whose geometry parses."""
+    return raw.withColumn("geom", G.parse(F.col("geo_shape"))).where(F.col("geom").isNotNull())
+
+
 def features(raw: DataFrame, with_coordinates: bool = True) -> DataFrame:
     """Rows whose geometry parses, with dense ids in file order, and the columns kept as far as they are there."""
-    shaped = raw.withColumn("geom", G.parse(F.col("geo_shape")))
+    shaped = parsed(raw)
     if with_coordinates:
         shaped = shaped.withColumn("original_coordinates", G.original_coordinates(F.col("geo_shape")))
-    out = layer_ids(shaped.where(F.col("geom").isNotNull()), "__order")
+    out = layer_ids(shaped, "__order")
     return out.select("ordinal", *[c for c in KEPT if c in out.columns])
 
 
@@ -41,10 +46,9 @@ def load_layer(spark: SparkSession, layer: str, source: str = "local", places: c
     if source.lower() not in roots:
         raise ValueError(f"unknown source {source!r}")
     raw = read_layer_csv(spark, f"{roots[source.lower()]}/{config.LAYERS[layer].csv_file}", layer)
-    out = features(raw, source.lower() == "local")
-    if out.isEmpty():
+    if parsed(raw).isEmpty():  # ends at the first good row: ids are not made for it
         raise ValueError(f"no valid geometry in layer {layer}")
-    return out
+    return features(raw, source.lower() == "local")
 
 
 def load_all_layers(spark: SparkSession, source: str = "local", places: config.Places | None = None) -> DataFrame:

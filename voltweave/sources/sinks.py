@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import json
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -109,13 +111,25 @@ def clean_checkpoints(spark: SparkSession, folder: str) -> int:
 
 
 def replace_table(df: DataFrame, name: str) -> None:
-    df.write.mode("overwrite").saveAsTable(name)
+    """Replaces a table whole. Rows are written to a table beside it, which then takes the name: a write that fails leaves the old table as it was."""
+    spark, fresh = df.sparkSession, f"{name}__{uuid.uuid4().hex}"
+    try:
+        df.write.saveAsTable(fresh)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
+
+
+def log_rows(messages: DataFrame, folder: str) -> None:
+    """Appends a column ``message`` to the error log; its own failure is not raised."""
+    now = datetime.now(timezone.utc).replace(tzinfo=None).isoformat()
+    with contextlib.suppress(Exception):
+        messages.select(F.lit(now).alias("ts"), "message").write.mode("append").json(folder)
 
 
 def log_error(spark: SparkSession, folder: str, message: str) -> None:
-    """Appends to the error log; its own failure is not raised."""
-    try:
-        row = [(datetime.now(timezone.utc).replace(tzinfo=None).isoformat(), message)]
-        spark.createDataFrame(row, "ts string, message string").coalesce(1).write.mode("append").json(folder)
-    except Exception:  # noqa: BLE001
-        pass
+    """Appends one message to the error log; its own failure is not raised."""
+    with contextlib.suppress(Exception):
+        log_rows(spark.createDataFrame([(message,)], "message string").coalesce(1), folder)
