@@ -13,7 +13,7 @@ document frequency. Similarity is the weighted Jaccard similarity, and documents
    once to each task that has its partners. In a bucket of more than ``BLOCK`` texts that holds several classes then, the
    largest id is a second leader.
 4. Buckets that still hold texts of several classes are compared in full, cell by cell: every pair that shares a bucket is in one
-   class or verified. Buckets with the same members are one. A bucket's largest class meets the others, and the others
+   class or verified. Buckets with the same members, and small ones with the same leader, are one. A bucket's largest class meets the others, and the others
    each other, in blocks of texts, two to a cell, so that no pair is a row and a large bucket is many tasks' work.
 5. Links are joined into classes by alternating large-star and small-star steps, cut by written tables.
 
@@ -47,6 +47,8 @@ SLICE = 1 << 20
 CLASS_SALTS = 32
 #: Texts, and distinct shingles, of a block of a bucket that is compared in full (on average: blocks are dealt by hash).
 BLOCK, BLOCK_SHINGLES = 512, 1_500_000
+#: Buckets of at most so many texts that have the same leader are compared as one: each has BANDS at most, so a group has BANDS * SMALL texts.
+SMALL = 64
 #: Bits of the map of ids that keeps texts without partners out of the shuffle (4 MB).
 MAP_BITS = 25
 
@@ -287,14 +289,18 @@ def verify(pairs: DataFrame, docs: DataFrame, weights, similarity: float, n_salt
 
 
 def undecided(reps: DataFrame, classes: DataFrame) -> DataFrame:
-    """(key, id, size, class) of buckets' members other than the leader, where these are of several classes."""
+    """(key, id, size, class) of buckets' members other than the leader, where these are of several classes.
+
+    Buckets of at most SMALL texts with one leader are one, as they share most members: a text is sent once for them, not once for each.
+    """
     keyed = reps.select("id", "size", F.explode("bands").alias("key"))
-    least = keyed.groupBy("key").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 2").drop("n")
+    least = keyed.groupBy("key").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 2")
     of = classes.select(F.col("id").alias("__id"), "class")
     members = keyed.join(least, "key").where("id <> a").join(of, F.col("id") == F.col("__id"), "left")
-    members = members.select("key", "id", "size", F.coalesce("class", "id").alias("class"))
+    members = members.select("key", "a", "n", "id", "size", F.coalesce("class", "id").alias("class"))
     several = members.groupBy("key").agg(F.min("class").alias("c0"), F.max("class").alias("c1")).where("c0 <> c1").select("key")
-    return members.join(several, "key", "left_semi")
+    key = F.when(F.col("n") <= SMALL, F.xxhash64(F.lit("led by"), F.col("a"))).otherwise(F.col("key"))
+    return members.join(several, "key", "left_semi").select(key.alias("key"), "id", "size", "class").distinct()
 
 
 def cells(members: DataFrame) -> DataFrame:
