@@ -226,3 +226,36 @@ def test_pairs_are_not_shuffled_after_the_join(spark):
 def test_top_k_is_cut_before_the_shuffle_and_the_join_is_on_cells(spark):
     plan = queries.topk_connections(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_documents_of_one_feature_a_line_are_many_tasks(spark, tmp_path):
+    """Their features are those of the whole document, whatever the form; before, a document was always one row of one task."""
+    f = [{"id": i, "properties": {"a": "x, ]}\\" * i, "n": i}} for i in range(400)] + ["text", None, [1], 2.5]
+    one = [json.dumps(x) for x in f]
+    bad = one[:3] + ["{} {}"] + one[3:]
+    forms = {
+        "ours": '{"type":"FeatureCollection","features":[\n' + "\n,".join(one) + "\n]}",
+        "tools": '{\n"type": "x",\n"crs": {"a": [1]},\n"features": [\r\n' + ",\r\n".join(one) + "\n]\n}\n",
+        "more_after": '{"features":[\n' + ",\n".join(one) + '\n],"bbox":[1]}',
+        "two_a_line": '{"features":[\n' + ",\n".join([", ".join(one[:2]), *one[2:]]) + "\n]}",
+        "one_line": json.dumps({"features": f}),
+        "indented": json.dumps({"features": f}, indent=1),
+        "no_comma": '{"features":[\n' + "\n".join(one) + "\n]}",
+        "garbage": '{"features":[\n' + ",\n".join(bad) + "\n]}",
+        "two_heads": '{"features":[1],"features":[\n' + ",\n".join(one) + "\n]}",
+        "empty": '{"features":[\n]}',
+        "cut": '{"features":[\n' + ",\n".join(one),
+    }
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        for name, text in forms.items():
+            path = str(tmp_path / f"{name}.geojson")
+            (tmp_path / f"{name}.geojson").write_bytes(text.encode())
+            got = layers.read_features(spark, path)
+            want = schema.explode_features(layers.read_geojson(spark, path)).select("position", "feature")
+            assert got.dtypes == want.dtypes and sorted(map(repr, got.collect())) == sorted(map(repr, want.collect())), name
+            if name in ("ours", "tools"):
+                assert got.count() == len(f) and got.rdd.getNumPartitions() > 5, name
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

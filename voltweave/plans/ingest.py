@@ -28,7 +28,7 @@ def load_file(spark: SparkSession, path: str, places: config.Places) -> dict:
     start = time.time()
     out = {"file": path, "status": "failed", "rows_processed": 0, "error": None, "processing_time": 0.0}
     try:
-        features = S.explode_features(layers.read_geojson(spark, path)).select("position", "feature")
+        features = layers.read_features(spark, path)
         if features.isEmpty():
             raise ValueError(f"no features in {path}")
         if not features.where(F.coalesce(F.col("feature"), F.lit("null")) == "null").isEmpty():
