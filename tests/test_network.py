@@ -259,3 +259,22 @@ def test_documents_of_one_feature_a_line_are_many_tasks(spark, tmp_path):
                 assert got.count() == len(f) and got.rdd.getNumPartitions() > 5, name
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_first_pairs_come_from_bounded_reaches(spark):
+    """In a dense place the top-k is that of all pairs, and most pairs are never made; before, all of them were."""
+    rng, rows = random.Random(7), []
+    for i in range(500):
+        x, y = rng.uniform(-45, 45), rng.uniform(-45, 45)
+        layer = rng.choice(list(config.LAYERS))
+        area = {"type": "Polygon", "coordinates": [[[x, y], [x + 3, y], [x, y + 3], [x, y]]]}
+        g = line((x, y), (x + rng.uniform(-20, 20), y + rng.uniform(-20, 20))) if layer.startswith("reseau") else point(x, y)
+        rows.append((f"f{i}", layer, area if i % 25 == 0 else g))
+    rows += [("far", "reseau_bt", line((1e9, 0), (1e9, 9))), ("far2", "postes_electrique", point(1e9, 1)), ("lone", "reseau_hta", line((-900, -900), (-905, -905))), ("lone2", "reseau_hta", line((-915, -905), (-990, -905)))]
+    f = frame(spark, rows).localCheckpoint()
+    every = C.distance_join(f).localCheckpoint()
+    want = sorted(map(repr, C.top_connections(every).select("src_id", "end", "rank", "dst_id", "distance").collect()))
+    for more in ({}, {"tight_cells": 2}, {"hot_probes": 20}):
+        some = C.nearest_pairs(f, **more).localCheckpoint()
+        got = sorted(map(repr, C.top_connections(some).select("src_id", "end", "rank", "dst_id", "distance").collect()))
+        assert got == want and some.count() * 2 < every.count(), (more, some.count(), every.count())
