@@ -278,3 +278,54 @@ def test_first_pairs_come_from_bounded_reaches(spark):
         some = C.nearest_pairs(f, **more).localCheckpoint()
         got = sorted(map(repr, C.top_connections(some).select("src_id", "end", "rank", "dst_id", "distance").collect()))
         assert got == want and some.count() * 2 < every.count(), (more, some.count(), every.count())
+
+
+def shuffled_rows(df):
+    """Rows that the plan's exchanges wrote when ``df`` was collected (without adaptive execution)."""
+    plans, n = [df._jdf.queryExecution().executedPlan()], 0
+    while plans:
+        p = plans.pop()
+        if p.nodeName() == "Exchange":
+            n += p.metrics().apply("shuffleRecordsWritten").value()
+        plans += [p.children().apply(i) for i in range(p.children().size())]
+    return n
+
+
+def unplanned(spark, f):
+    """``f()`` with plain shuffles: no adaptive execution, no broadcast."""
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in off}
+    for k, v in off.items():
+        spark.conf.set(k, v)
+    try:
+        return f()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_distance_join_shuffles_a_candidate_once_for_each_tile(spark):
+    """Lines of 40 units lie in some dozen cells of 30, and in two or three tiles; before, each cell's copy was shuffled."""
+    rng = random.Random(3)
+    rows = [(f"f{i}", "reseau_bt", line((x, y), (x + 40, y + 30))) for i in range(400) for x, y in [(rng.uniform(-900, 900), rng.uniform(-900, 900))]]
+    f = frame(spark, rows).localCheckpoint()
+
+    def run():
+        df = C.distance_join(f)
+        return df.collect(), shuffled_rows(df)
+
+    found, n = unplanned(spark, run)
+    assert len(found) > 400 and n < 6 * len(rows), n  # two probes of each among them
+
+
+def test_distance_join_of_long_lines_areas_and_shared_tiles(spark):
+    square = {"type": "Polygon", "coordinates": [[[0, 0], [1000, 0], [1000, 1000], [0, 1000], [0, 0]], [[400, 400], [600, 400], [600, 600], [400, 600], [400, 400]]]}
+    rows = [
+        ("sq", "reseau_hta", square), ("in", "postes_source", point(200, 200)), ("hole", "postes_source", point(500, 500)), ("edge", "postes_source", point(1045, 500)), ("rim", "postes_source", point(560, 500)),
+        ("long", "reseau_souterrain_hta", line((-50000, -50000), (90000, 70000))), ("on", "postes_source", point(20000, 10000)), ("off", "postes_source", point(20000, 10100)),
+        ("bent", "reseau_hta", line((-5000, 0), (-4000, 0), (-4000, 900), (-5000, 900))), ("by", "postes_source", point(-3950, 450)), ("mid", "postes_source", point(-4500, 450)),
+    ]
+    want = {("in", "sq"): 0.0, ("edge", "sq"): 45.0, ("rim", "sq"): 40.0, ("by", "bent"): 50.0, ("on", "long"): abs(70000 * 120000 - 60000 * 140000) / (140000**2 + 120000**2) ** 0.5}
+    for hot in (C.HOT_TILE_PROBES, 1):
+        got = [((r.src_id, r.dst_id), r.distance) for r in C.distance_join(frame(spark, rows), hot_probes=hot).where("src_layer = 'postes_source'").collect()]
+        assert len(got) == len(want) and dict(got) == pytest.approx(want, abs=1e-6)
