@@ -329,3 +329,25 @@ def test_distance_join_of_long_lines_areas_and_shared_tiles(spark):
     for hot in (C.HOT_TILE_PROBES, 1):
         got = [((r.src_id, r.dst_id), r.distance) for r in C.distance_join(frame(spark, rows), hot_probes=hot).where("src_layer = 'postes_source'").collect()]
         assert len(got) == len(want) and dict(got) == pytest.approx(want, abs=1e-6)
+
+
+def test_bbox_pairs_shuffle_a_candidate_once_for_each_tile(spark):
+    """Equal to all pairs; before, each box was shuffled to some dozens of cells of either radius."""
+    rng = random.Random(5)
+    rows = [(f"f{i}", rng.choice(list(config.LAYERS)), line((x, y), (x + rng.uniform(-40, 40), y + 30))) for i in range(300) for x, y in [(rng.uniform(-700, 700), rng.uniform(-700, 700))]]
+    f = frame(spark, rows).localCheckpoint()
+
+    def run():
+        df = C.bbox_pairs(f)
+        return sorted(map(tuple, df.collect())), shuffled_rows(df)
+
+    want = []
+    for a, layer, g in rows:
+        h = 1.5 * config.LAYERS[layer].radius
+        for end, (px, py) in zip("SE", g["coordinates"], strict=True):
+            for b, _, other in rows:
+                (ax, ay), (bx, by) = other["coordinates"]
+                if a != b and min(ax, bx) <= px + h and max(ax, bx) >= px - h and min(ay, by) <= py + h and max(ay, by) >= py - h:
+                    want.append((a, end, b))
+    found, n = unplanned(spark, run)
+    assert found == sorted(want) and n < 7 * len(rows), n  # two probes of each among them
