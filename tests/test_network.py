@@ -351,3 +351,18 @@ def test_bbox_pairs_shuffle_a_candidate_once_for_each_tile(spark):
                     want.append((a, end, b))
     found, n = unplanned(spark, run)
     assert found == sorted(want) and n < 7 * len(rows), n  # two probes of each among them
+
+
+def test_loader_parses_features_once_for_a_table_and_once_for_its_schema(spark):
+    """One pass has the counts and the types that four passes had; before, flattening parsed a feature for its filter, id, type and each column anew."""
+    f = ['{"type":"x","geometry":{"type":"Point","coordinates":[1,2]},"properties":{"a":1,"b":"x","l":["y"]}}', ' {"properties":{"a":"late","c":[1,2]}}', '{"properties":[7,8]}', '{"properties":null}', "{}", "text", "[1,2]", '{"cut', "null", None, '{"properties":{"c":2.5,"d":null}}']
+    df = spark.createDataFrame(list(enumerate(f)), "position int, feature string")
+    n, nulls, others, found = schema.inspect(df)
+    assert (n, nulls, others) == (len(f), 2, schema.not_objects(df).count()) and others == 5
+    assert found == sorted(map(tuple, schema.infer_types(schema.property_values(df)).collect())) == [("a", "INTEGER"), ("b", "STRING"), ("c", "JSON"), ("d", "STRING"), ("l", "STRING REPEATED")]
+    assert schema.inspect(df.where("false")) == (0, 0, 0, [])
+    flat = schema.flatten(df, schema.columns(found))
+    rows = sorted(flat.collect())
+    assert [r.feature_id for r in rows] == sorted(f"feature_{i}" for i in (0, 1, 2, 3, 4, 10)) and rows[0].geometry == "POINT(1 2)" and rows[0].a == 1
+    plan = flat._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert plan.count("parsejson") + plan.count("parse_json") == 1 and plan.count("$.geometry") == 1, plan

@@ -27,24 +27,29 @@ def nested(text: Column, path: str, default: str | None = None) -> Column:
     return F.coalesce(F.get_json_object(text, "$." + path), F.lit(default))
 
 
-def feature_id(feature: Column, position: Column) -> Column:
-    """Text of "id"; an explicit null is "None"; a missing one is feature_ and the position from 0."""
-    v = F.variant_get(F.try_parse_json(feature), "$.id", "variant")
+def feature_id(feature: Column, position: Column, parsed: Column | None = None) -> Column:
+    """Text of "id"; an explicit null is "None"; a missing one is feature_ and the position from 0. ``parsed``: the feature as a variant, where it is at hand."""
+    whole = F.try_parse_json(feature) if parsed is None else parsed
+    v = F.variant_get(whole, "$.id", "variant")
     kind = F.schema_of_variant(v)
-    plain = F.try_variant_get(F.try_parse_json(feature), "$.id", "string")
+    plain = F.try_variant_get(whole, "$.id", "string")
     boolean = F.when(plain == "true", "True").otherwise("False")
     return F.when(v.isNull(), F.concat(F.lit("feature_"), position.cast("string"))).when(F.is_variant_null(v), "None").when(kind == "BOOLEAN", boolean).otherwise(plain)
 
 
-def feature_type(feature: Column) -> Column:
-    """Text of "type"; "Feature" where it is missing, null where it is null."""
-    v = F.variant_get(F.try_parse_json(feature), "$.type", "variant")
+def feature_type(feature: Column, parsed: Column | None = None) -> Column:
+    """Text of "type"; "Feature" where it is missing, null where it is null. ``parsed``: as for :func:`feature_id`."""
+    v = F.variant_get(F.try_parse_json(feature) if parsed is None else parsed, "$.type", "variant")
     return F.when(v.isNull(), "Feature").when(F.is_variant_null(v), None).otherwise(F.get_json_object(feature, "$.type"))
 
 
 def geometry_json(feature: Column) -> Column:
     """Text of "geometry", compact and in its own key order; null where it is missing or empty."""
-    text = F.get_json_object(feature, "$.geometry")
+    return some_geometry(F.get_json_object(feature, "$.geometry"))
+
+
+def some_geometry(text: Column) -> Column:
+    """The text of "geometry"; null where it is empty."""
     return F.when(~text.isin("{}", "null", "[]", "", "false", "0"), text)
 
 

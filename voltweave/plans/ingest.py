@@ -29,17 +29,17 @@ def load_file(spark: SparkSession, path: str, places: config.Places) -> dict:
     out = {"file": path, "status": "failed", "rows_processed": 0, "error": None, "processing_time": 0.0}
     try:
         features = layers.read_features(spark, path)
-        if features.isEmpty():
+        n, nulls, others, found = S.inspect(features)
+        if not n:
             raise ValueError(f"no features in {path}")
-        if not features.where(F.coalesce(F.col("feature"), F.lit("null")) == "null").isEmpty():
+        if nulls:
             raise ValueError(f"a null feature in {path}")
         name = f"{places.database}.{file_table(spark, path)}"
-        sinks.replace_table(S.flatten(features, S.infer_schema(features)), name)
+        sinks.replace_table(S.flatten(features, S.columns(found)), name)
         out |= {"status": "success", "rows_processed": spark.table(name).count()}
-        said = F.concat(F.lit(f"{path}: dropped, no object, position "), F.col("position").cast("string"), F.lit(": "), F.substring("feature", 1, 200))
-        dropped = S.not_objects(features).select(said.alias("message"))
-        if not dropped.isEmpty():
-            sinks.log_rows(dropped, f"{places.processed}/error_log")
+        if others:
+            said = F.concat(F.lit(f"{path}: dropped, no object, position "), F.col("position").cast("string"), F.lit(": "), F.substring("feature", 1, 200))
+            sinks.log_rows(S.not_objects(features).select(said.alias("message")), f"{places.processed}/error_log")
     except Exception as e:  # noqa: BLE001
         out["error"] = str(e)
         sinks.log_error(spark, f"{places.processed}/error_log", f"{path}: {e}\n{traceback.format_exc()}")
