@@ -366,3 +366,18 @@ def test_loader_parses_features_once_for_a_table_and_once_for_its_schema(spark):
     assert [r.feature_id for r in rows] == sorted(f"feature_{i}" for i in (0, 1, 2, 3, 4, 10)) and rows[0].geometry == "POINT(1 2)" and rows[0].a == 1
     plan = flat._jdf.queryExecution().optimizedPlan().toString().lower()
     assert plan.count("parsejson") + plan.count("parse_json") == 1 and plan.count("$.geometry") == 1, plan
+
+
+def test_distance_join_of_given_probes_and_candidates(spark, monkeypatch):
+    """Pairs of one frame with another are those of both that lead from the first to the second; the join of shapes asks for no others, as it did before."""
+    rng = random.Random(11)
+    at = lambda: (rng.uniform(-100, 100), rng.uniform(-100, 100))
+    rows = [(f"s{i}", "postes_electrique", point(*at())) for i in range(40)] + [(f"l{i}", "reseau_hta", line(at(), at(), at())) for i in range(60)]
+    f = frame(spark, rows).localCheckpoint()
+    stations, lines = f.where("id LIKE 's%'"), f.where("id LIKE 'l%'")
+    got = sorted(map(repr, C.distance_join(stations, among=lines).drop("cell").collect()))
+    assert got and got == sorted(map(repr, C.distance_join(f).where("src_id LIKE 's%' AND dst_id LIKE 'l%'").drop("cell").collect()))
+    asked, join = [], C.distance_join
+    monkeypatch.setattr(C, "distance_join", lambda features, *a, **k: asked.append({r.layer for r in features.select("layer").distinct().collect()}) or join(features, *a, **k))
+    queries.Q["shapes_join"](spark, "/root/testdata/sf0.001").count()
+    assert asked == [{"postes_electrique"}]
