@@ -104,6 +104,57 @@ def test_near_stage_with_repeated_rows_and_without_ids(spark, make_docs):
         assert [x for x in got if x[0] == -1] == [(-1, ""), (-1, d)] and len([x for x in got if x[0] == 9]) == 1
 
 
+def exchanged(df, column):
+    """Rows that the plan of ``df``, which has run, wrote to its exchanges that carry ``column``."""
+
+    def walk(node):
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if kind.endswith("QueryStageExec"):
+            return walk(node.plan())
+        own = 0
+        if kind == "ShuffleExchangeExec" and f"{column}#" in node.output().mkString(","):
+            own = node.metrics().apply("shuffleRecordsWritten").value()
+        children = node.children()
+        return own + sum(walk(children.apply(i)) for i in range(children.size()))
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+@pytest.mark.parametrize("repeats", [0, 3])
+def test_near_stage_shuffles_no_text_that_stays(spark, make_docs, repeats):
+    """Where the dropped ids are too many to be broadcast, only the rows they name are shuffled."""
+    rng = random.Random(14)
+    text = lambda: " ".join("".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(60))
+    texts = [text() for _ in range(300)]
+    texts += [t + " end" for t in texts[:40]]
+    docs = make_docs(texts + texts[100 : 100 + repeats], [*range(340), *range(100, 100 + repeats)])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = P.drop_near_duplicates(spark, docs, SF)
+        got = sorted(r.doc_id for r in out.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == list(range(300))
+    assert exchanged(out, "text") <= 40 + 6 * repeats
+
+
+@pytest.mark.parametrize("bits", [6, 9])
+def test_near_stage_with_a_full_map_of_ids(spark, make_docs, monkeypatch, bits):
+    """A map that says yes to rows that stay changes nothing: the join decides."""
+    rng = random.Random(15)
+    text = lambda: " ".join("".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(60))
+    texts = [text() for _ in range(300)]
+    texts += [t + " end" for t in texts[:80]]
+    monkeypatch.setattr(minhash, "MAP_BITS", bits)
+    for more in ([], [7, 7, 299, None]):
+        docs = make_docs(texts + [text() for _ in more], [*range(380), *more])
+        got = [r.doc_id for r in P.drop_near_duplicates(spark, docs, SF).collect()]
+        assert sorted(x for x in got if x is not None) == list(range(300)) and got.count(None) == more.count(None)
+
+
 def test_empty_tables(spark, make_docs):
     for name, function in P.STAGES:
         out = function(spark, make_docs([]), SF)

@@ -27,7 +27,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import WORD_TABLE, as_bytes, drop_stage, mix64, ship, slices, stage, table
@@ -49,7 +49,7 @@ CLASS_SALTS = 32
 BLOCK, BLOCK_SHINGLES = 512, 1_500_000
 #: Buckets of at most so many texts that have the same leader are compared as one: each has BANDS at most, so a group has BANDS * SMALL texts.
 SMALL = 64
-#: Bits of the map of ids that keeps texts without partners out of the shuffle (4 MB).
+#: Bits of the map of ids that keeps texts out of the shuffle (4 MB): those without partners, and those that no class drops.
 MAP_BITS = 25
 
 _RNG = np.random.default_rng(20240607)
@@ -228,24 +228,35 @@ def sign(docs: DataFrame, weights) -> DataFrame:
     return docs.select("doc_id", "text", F.xxhash64("text").alias("h")).mapInArrow(run, "doc_id long, h long, seq long, bands array<long>, size long")
 
 
-def among(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents whose doc_id is in ``ids``.
+def perhaps(ids: DataFrame, key: str) -> Column:
+    """Whether a row's ``key`` may be among ``ids``' (one column, ``key``): never false for one that is.
 
-    A bit map of hashed ids, of a size fixed by MAP_BITS, takes out nearly all others before texts are shuffled; a
-    full map lets more through, and the join decides in any case.
+    A bit map of hashed ids, of a size fixed by MAP_BITS; a full map says yes to more.
     """
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << MAP_BITS))
+    slot = F.pmod(F.xxhash64(key), F.lit(1 << MAP_BITS))
     longs = ids.select(slot.alias("s")).groupBy(F.shiftright("s", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(s & 63 as int))")).alias("b")).toArrow()
     bits = np.zeros(1 << (MAP_BITS - 6), np.int64)
     bits[longs.column("w").to_numpy()] = longs.column("b").to_numpy()
-    shared = docs.sparkSession.sparkContext.broadcast(bits.view(np.uint64))
+    shared = ids.sparkSession.sparkContext.broadcast(bits.view(np.uint64))
 
     @F.pandas_udf("boolean")
     def maybe(s: pd.Series) -> pd.Series:
         at = s.to_numpy()
         return pd.Series((shared.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1)
 
-    return docs.where(maybe(slot)).join(ids, "doc_id", "left_semi")
+    return maybe(slot)
+
+
+def among(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The documents whose ``key`` is in ``ids``. The map takes out nearly all others before texts are shuffled; the join decides."""
+    return docs.where(perhaps(ids, key)).join(ids, key, "left_semi")
+
+
+def beside(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The documents whose ``key`` is not in ``ids``. Nearly all of them pass by the map, and are not shuffled; the join decides on the rest."""
+    maybe = perhaps(ids, key)
+    rest = docs.where(maybe).join(ids.select(F.col(key).alias("__in")), F.col(key) == F.col("__in"), "left_anti")
+    return docs.where(~maybe).union(rest)
 
 
 def leaders(keyed: DataFrame) -> DataFrame:
