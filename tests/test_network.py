@@ -381,3 +381,36 @@ def test_distance_join_of_given_probes_and_candidates(spark, monkeypatch):
     monkeypatch.setattr(C, "distance_join", lambda features, *a, **k: asked.append({r.layer for r in features.select("layer").distinct().collect()}) or join(features, *a, **k))
     queries.Q["shapes_join"](spark, "/root/testdata/sf0.001").count()
     assert asked == [{"postes_electrique"}]
+
+
+def test_first_pairs_are_no_more_than_the_limits_and_the_statistics_are_those_of_the_lists(spark):
+    """Points, bent lines, areas, ties and lines longer than a tile; before, some multiples of the limits were made and sorted."""
+    rng, rows = random.Random(21), []
+    for i in range(400):
+        x, y = rng.randint(200, 280), rng.randint(-20, 60)
+        layer = rng.choice(list(config.LAYERS))
+        if not layer.startswith("reseau"):
+            g = point(x, y)
+        elif i % 40 == 0:
+            g = {"type": "Polygon", "coordinates": [[[x, y], [x + 5, y], [x, y + 5], [x, y]]]}
+        elif i % 7 == 0:
+            g = line((x, y), (x + 10, y), (x + 10, y + 9), (x, y + 9))
+        else:
+            g = line((x, y), (x + rng.randint(-12, 12), y + rng.randint(-12, 12)))
+        rows.append((f"f{i}", layer, g))
+    rows += [("long", "reseau_hta", line((-3000, 5), (2400, 30))), ("lone", "reseau_bt", line((9000, 9000), (9001, 9000)))]
+    f = frame(spark, rows).localCheckpoint()
+    columns = ["src_id", "end", "rank", "dst_id", "distance"]
+    want = sorted(map(tuple, C.top_connections(C.distance_join(f)).select(*columns).collect()))
+    for more in ({}, {"hot_probes": 20}):
+        assert sorted(map(tuple, C.nearest_pairs(f, **more).select(*columns).collect())) == want, more
+    lists = C.connect(f).select("layer", "id", "connections").collect()
+    firsts, ends = {}, {}
+    for a, end, _, b, _ in want:
+        (firsts if end == "P" else ends).setdefault(a, []).append(b)
+    assert {r.id: r.connections for r in lists} == {i: firsts.get(i) or sorted(set(ends.get(i, []))) for i, _, _ in rows}
+    counts = {r.layer: (r.feature_count, r.total_connections) for r in C.connection_counts(f).collect()}
+    assert counts == {k: (sum(r.layer == k for r in lists), sum(len(r.connections) for r in lists if r.layer == k)) for k in config.LAYERS}
+    codes = {i: n for n, (i, _, _) in enumerate(rows)}
+    pairs = {(codes[a], codes[b]) for a, _, _, b, _ in want}
+    assert {(r.src_ordinal, r.dst_ordinal) for r in C.one_way(C.nearest_pairs(f)).collect()} == {(a, b) for a, b in pairs if (b, a) not in pairs}
